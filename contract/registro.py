@@ -4,7 +4,7 @@ The same expressions serve both engines. Code 33 has no label, sector 2 has no
 label, some codes are null, and some wage masses and weights are zero.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from padron.dictionaries import EMPLOYER_SIZES, SECTORS, SIZES
@@ -46,13 +46,20 @@ def projection(text: str) -> list[str]:
     return [f"{sql.format(text=text)} AS {name}" for name, sql in COLUMNS.items()]
 
 
-def registro(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(*projection("STRING"))
+def registro(spark: SparkSession, sf_dir: str, since: Column | None = None) -> DataFrame:
+    """The registry; `since` drops earlier months in the scan, on the stored column."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    if since is not None:
+        rows = rows.filter(F.col("l_shipdate") >= since)
+    return rows.selectExpr(*projection("STRING"))
 
 
-def newest_month(spark: SparkSession, sf_dir: str):
-    """Newest month of the registry as a scalar subquery that reads one column."""
-    return registro(spark, sf_dir).select(F.max("date")).scalar()
+def newest_month(spark: SparkSession, sf_dir: str) -> Column:
+    """Newest month as a scalar subquery that reads one column.
+
+    It has the type of the stored column, so that a filter on it reaches the scan.
+    """
+    return registro(spark, sf_dir).select(F.max("date").cast("timestamp_ntz")).scalar()
 
 
 def landing(spark: SparkSession, sf_dir: str) -> list[str]:

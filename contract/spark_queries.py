@@ -37,8 +37,8 @@ def query(fn: Query) -> Query:
 
 # --- shared inputs --------------------------------------------------------------------------
 
-def _measured(spark, sf):
-    return cube.measured(registro(spark, sf))
+def _measured(spark, sf, since=None):
+    return cube.measured(registro(spark, sf, since))
 
 
 def _national(spark, sf):
@@ -57,8 +57,9 @@ def _marginal(spark, sf, variable):
     return cube.marginal(_measured(spark, sf), variable)
 
 
-def _state_sector(spark, sf):
-    return cube.state_sector(_measured(spark, sf))
+def _newest_state_sector(spark, sf, since):
+    """State by sector from the newest month on."""
+    return cube.state_sector(_measured(spark, sf, since))
 
 
 def _catalog(spark, sf):
@@ -187,7 +188,7 @@ def employers_wide(spark, sf):
 
 @query
 def region_map(spark, sf):
-    as_of = newest_month(spark, sf)
+    as_of = newest_month(spark, sf).cast("date")
     rates = charts.state_rates(_marginal(spark, sf, "cve_entidad"), as_of)
     return charts.region_map(regions(spark, sf), rates)
 
@@ -265,7 +266,8 @@ def unpivot_dims(spark, sf):
 
 @query
 def size_bands(spark, sf):
-    return sheets.size_bands(_marginal(spark, sf, "patron"), newest_month(spark, sf))
+    return sheets.size_bands(
+        _marginal(spark, sf, "patron"), newest_month(spark, sf).cast("date"))
 
 
 @query
@@ -317,7 +319,7 @@ def employer_size_table(spark, sf):
 
 @query
 def state_bars(spark, sf):
-    as_of = newest_month(spark, sf)
+    as_of = newest_month(spark, sf).cast("date")
     rates = charts.state_rates(_marginal(spark, sf, "cve_entidad"), as_of)
     return charts.state_bars(rates)
 
@@ -329,7 +331,8 @@ def last3_preview(spark, sf):
 
 @query
 def employment_type_table(spark, sf):
-    return report.employment_type_table(_national(spark, sf), _by_sex(spark, sf))
+    cells = cube.base_cells(_measured(spark, sf), ("date", "sexo"))
+    return report.employment_type_table(cube.national(cells), cube.national_by_sex(cells))
 
 
 # --- aggregates -----------------------------------------------------------------------------
@@ -356,7 +359,7 @@ def marginals_by_sex(spark, sf):
 
 @query
 def state_sector(spark, sf):
-    return _state_sector(spark, sf)
+    return cube.state_sector(_measured(spark, sf))
 
 
 @query
@@ -432,12 +435,16 @@ def state_table(spark, sf):
 
 @query
 def sector_share_state(spark, sf):
-    return charts.state_sectors(_state_sector(spark, sf), newest_month(spark, sf))
+    since = newest_month(spark, sf)
+    as_of = since.cast("date")
+    return charts.state_sectors(_newest_state_sector(spark, sf, since), as_of)
 
 
 @query
 def sector_share_national(spark, sf):
-    return charts.national_sectors(_state_sector(spark, sf), newest_month(spark, sf))
+    since = newest_month(spark, sf)
+    as_of = since.cast("date")
+    return charts.national_sectors(_newest_state_sector(spark, sf, since), as_of)
 
 
 @query
@@ -510,15 +517,18 @@ def sex_narrative(spark, sf):
 
 @query
 def sector_narrative(spark, sf):
-    return report.sector_block(
-        report.sector_ranking(_state_sector(spark, sf), newest_month(spark, sf)))
+    since = newest_month(spark, sf)
+    as_of = since.cast("date")
+    ranking = report.sector_ranking(_newest_state_sector(spark, sf, since), as_of)
+    return report.sector_block(ranking)
 
 
 @query
 def sector_wage_table(spark, sf):
-    as_of = newest_month(spark, sf)
-    ranking = report.sector_ranking(_state_sector(spark, sf), as_of)
-    wages = cube.wage_marginals(_measured(spark, sf))
+    since = newest_month(spark, sf)
+    as_of = since.cast("date")
+    ranking = report.sector_ranking(_newest_state_sector(spark, sf, since), as_of)
+    wages = cube.wage_marginals(_measured(spark, sf, since))
     return report.sector_wage_table(ranking, wages, as_of)
 
 

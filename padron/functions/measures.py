@@ -27,9 +27,14 @@ def has_wage(mass: str | Column, workers: str | Column) -> Column:
     return (_col(mass) != 0) & (_col(workers) != 0)
 
 
+def hundredths(money: str | Column) -> Column:
+    """Amount with two decimals as an integer number of hundredths."""
+    return (_col(money) * 100).cast("bigint")
+
+
 def mean_wage(mass: str | Column, workers: str | Column) -> Column:
-    """Weighted mean wage from masses and weights that already passed `has_wage`."""
-    return F.try_divide(F.sum(mass).cast("double"), F.sum(workers))
+    """Weighted mean wage from `hundredths` of mass and weights that passed `has_wage`."""
+    return F.try_divide(F.sum(mass).cast("double") / 100, F.sum(workers))
 
 
 def pct_change(now: Column, before: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from padron.dictionaries import DIMENSIONS, LABELS
 from padron.functions.labels import closed_label, long_label
-from padron.functions.measures import has_wage, mean_wage, row_sum, total
+from padron.functions.measures import has_wage, hundredths, mean_wage, row_sum, total
 
 COUNTS = ("ta", "te", "tp")
 WAGE_PARTS = ("masa_ok", "ta_sal_ok")
@@ -20,12 +20,16 @@ CELL_KEYS = ("date", "sexo", *reversed(DIMENSIONS))
 
 
 def measured(micro: DataFrame) -> DataFrame:
-    """Microdata with its additive measures: workers by type, wage mass and weight."""
+    """Microdata with its additive measures: workers by type, wage mass and weight.
+
+    The mass is carried in hundredths, as an integer: exact like a decimal, but
+    summed without one. A group too large for it fails instead of wrapping.
+    """
     ok = has_wage("masa_sal_ta", "ta_sal")
     return micro.withColumns({
         "te": row_sum("teu", "tec"),
         "tp": row_sum("tpu", "tpc"),
-        "masa_ok": F.when(ok, F.col("masa_sal_ta")),
+        "masa_ok": F.when(ok, hundredths("masa_sal_ta")),
         "ta_sal_ok": F.when(ok, F.col("ta_sal")),
     }).drop("teu", "tec", "tpu", "tpc", "masa_sal_ta", "ta_sal")
 

@@ -4,7 +4,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 
 def append_rows(history: DataFrame | None, new: DataFrame) -> DataFrame:
@@ -20,9 +19,13 @@ def upsert(history: DataFrame | None, new: DataFrame, keys: Sequence[str],
 
     Null keys count as equal. `order` must single out one row per key and side
     where a side may hold a key twice; those columns must exist on both sides.
+    The first row is an aggregate, so repeats of a key are reduced before they
+    are shuffled.
     """
     new = new.withColumn("_side", F.lit(1))
     both = new if history is None else append_rows(history.withColumn("_side", F.lit(0)), new)
-    first = Window.partitionBy(*keys).orderBy("_side", *order)
-    return (both.withColumn("_rn", F.row_number().over(first))
-            .filter(F.col("_rn") == 1).drop("_rn", "_side"))
+    rest = [c for c in both.columns if c not in (*keys, "_side")]
+    row = F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.struct(F.lit(1).alias("_"))
+    first = F.min_by(row, F.struct("_side", *order)).alias("_row")
+    kept = both.groupBy(*keys).agg(first)
+    return kept.select(*keys, *[F.col(f"_row.`{c}`").alias(c) for c in rest])

@@ -33,17 +33,16 @@ def ranking_text(df: DataFrame, n: int = 3, largest: bool = True,
     """`(i) A (1.2%); (ii) B (1.0%)` for the first n rows, as one row `texto`."""
     if not 1 <= n <= len(RANK_PREFIXES):
         raise ValueError(f"n must be between 1 and {len(RANK_PREFIXES)}")
-    prefix = F.try_element_at(F.array(*[F.lit(p) for p in RANK_PREFIXES]), F.col("rn"))
-    item = F.concat(prefix, F.lit(" "), F.col(name), F.lit(" ("),
-                    fmt_percent(F.col(metric), decimals), F.lit(")"))
-    ranked = top_n(df, n, metric, name, largest).select("rn", item.alias("item"))
-    return join_texts(ranked, "item", "rn", "; ")
+    ranked = top_n(df, n, metric, name, largest)
+    items = ranked.select("rn", ranking_item(name, metric, decimals).alias("item"))
+    return items.agg(F.expr("listagg(item, '; ') within group (order by rn)").alias("texto"))
 
 
-def join_texts(df: DataFrame, text: str, order: str, separator: str) -> DataFrame:
-    """One row holding the texts in order; null when there are none."""
-    return df.agg(F.expr(
-        f"listagg(`{text}`, '{separator}') within group (order by `{order}`)").alias("texto"))
+def ranking_item(name: str, metric: str, decimals: int = 1) -> Column:
+    """`(i) A (1.2%)` for a row that carries its position in `rn`."""
+    prefix = F.try_element_at(F.array(*[F.lit(p) for p in RANK_PREFIXES]), F.col("rn"))
+    return F.concat(prefix, F.lit(" "), F.col(name), F.lit(" ("),
+                    fmt_percent(F.col(metric), decimals), F.lit(")"))
 
 
 def share(measure: str, by: Sequence[str]) -> Column:

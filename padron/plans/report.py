@@ -5,6 +5,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from padron.dictionaries import EMPLOYER_SIZES
 from padron.functions.dates import month_name, period_label
@@ -14,7 +15,7 @@ from padron.functions.formats import (
 from padron.functions.measures import pct_of, total
 from padron.operators.growth import YEAR, before
 from padron.operators.periods import latest, latest_row, with_latest
-from padron.operators.ranking import position, ranking_text, top_n
+from padron.operators.ranking import position, ranking_item, top_n
 from padron.operators.reshape import columns_table
 
 FLAT = 0.05
@@ -117,20 +118,16 @@ def extremes(newest: DataFrame, n: int = 3) -> DataFrame:
 
 def state_block(newest: DataFrame) -> DataFrame:
     """Ranking texts, the flat states, and each of the three first and last states."""
-    ends = extremes(newest)
-    slots = []
+    ends = extremes(newest).withColumn("item", ranking_item("entidad_federativa", "tc_anual"))
+    texts, slots = [], []
     for kind, tag in (("mayor", ""), ("menor", "m")):
+        text = f"listagg(item, '; ') within group (order by rn) filter (where tipo = '{kind}')"
+        texts.append(F.expr(text).alias(f"ranking_{kind}_txt"))
         for i in (1, 2, 3):
             here = (F.col("tipo") == kind) & (F.col("rn") == i)
             slots += [F.max(F.when(here, F.col("entidad_federativa"))).alias(f"entidad_{tag}{i}"),
                       F.max(F.when(here, F.col("tc_fmt"))).alias(f"tc_entidad_{tag}{i}")]
-    parts = [
-        ends.agg(*slots),
-        ranking_text(newest).withColumnRenamed("texto", "ranking_mayor_txt"),
-        ranking_text(newest, largest=False).withColumnRenamed("texto", "ranking_menor_txt"),
-        flat_states(newest).drop("date"),
-    ]
-    return merge_rows(parts)
+    return merge_rows([ends.agg(*texts, *slots), flat_states(newest).drop("date")])
 
 
 def state_table(newest: DataFrame) -> DataFrame:
@@ -195,9 +192,9 @@ def sector_ranking(state_sector: DataFrame, as_of: Column | None = None) -> Data
     named = ~F.lower("sector").isin("total", "")
     rows = latest(state_sector, as_of=as_of).groupBy("date", "sector").agg(total("ta").alias("ta"))
     kept = rows.filter(named)
-    ranked = kept.withColumn("rn", position("ta", "sector", ["date"]))
-    whole = kept.groupBy("date").agg(F.sum("ta").alias("total_nac"))
-    return ranked.join(whole, "date").withColumn("pct", pct_of(F.col("ta"), F.col("total_nac")))
+    whole = F.sum("ta").over(Window.partitionBy("date"))
+    return kept.withColumns({"rn": position("ta", "sector", ["date"]),
+                             "pct": pct_of(F.col("ta"), whole)})
 
 
 def sector_block(ranking: DataFrame) -> DataFrame:
