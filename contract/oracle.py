@@ -2,7 +2,7 @@
 
 import re
 
-from contract.registro import DRIFT_MONTH, REFERENCE_MONTH, projection
+from contract.registro import DUCKDB, REFERENCE_MONTH, projection
 from padron.dictionaries import (
     EMPLOYER_SIZES, LABELS, MONTHS, MONTHS_SHORT, NO_DATA, RANK_PREFIXES, SECTORS, SIZES,
     SIZES_LEGACY,
@@ -133,7 +133,7 @@ _BAND = ("CASE WHEN categoria IN ('1 PT', '2 a 5 PT') THEN 'Micro (1-5)'"
          " THEN 'Grande (251+)' ELSE 'Sin dato' END")
 
 WITH: dict[str, str] = {
-    "registro": f"SELECT {', '.join(projection('VARCHAR'))} FROM lineitem",
+    "registro": f"SELECT {', '.join(projection(DUCKDB))} FROM lineitem",
     "medido": "SELECT date, sexo, cve_entidad, sector_economico_1, patron, ta,"
               " coalesce(teu, 0) + coalesce(tec, 0) AS te, coalesce(tpu, 0) + coalesce(tpc, 0) AS tp,"
               " CASE WHEN masa_sal_ta <> 0 AND ta_sal <> 0 THEN masa_sal_ta END AS masa_ok,"

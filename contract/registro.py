@@ -1,7 +1,8 @@
 """The registry as a projection of `lineitem`, since no microdata ships with the repository.
 
-The same expressions serve both engines. Code 33 has no label, sector 2 has no
-label, some codes are null, and some wage masses and weights are zero.
+The same expressions serve both engines, but for the month. Code 33 has no
+label, sector 2 has no label, some codes are null, and some wage masses and
+weights are zero.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,7 @@ from padron.sources.employers import region_dimension
 from padron.sources.microdata import write_microdata
 
 COLUMNS = {
-    "date": "CAST(date_trunc('month', l_shipdate) AS DATE)",
+    "date": "{month}",
     "cve_entidad": "CAST(NULLIF((l_suppkey*7+l_partkey)%34, 0) AS {text})",
     "sector_economico_1": "CAST(NULLIF(l_partkey%11, 10) AS {text})",
     "patron": "CASE WHEN l_partkey%13=0 THEN NULL"
@@ -32,6 +33,11 @@ COLUMNS = {
     "l_suppkey": "l_suppkey",
 }
 
+#: Month of the stored timestamp and text type, per engine. Spark's own spelling
+#: stays on dates and needs no time zone.
+SPARK = {"month": "trunc(CAST(l_shipdate AS DATE), 'MM')", "text": "STRING"}
+DUCKDB = {"month": "CAST(date_trunc('month', l_shipdate) AS DATE)", "text": "VARCHAR"}
+
 #: Stand-in for the report's fixed reference month.
 REFERENCE_MONTH = "2000-11-01"
 
@@ -41,9 +47,9 @@ DRIFT_MONTH = "1998-01-01"
 _landings: dict[tuple[str, str], list[str]] = {}
 
 
-def projection(text: str) -> list[str]:
-    """Select list of the registry; `text` is the engine's string type."""
-    return [f"{sql.format(text=text)} AS {name}" for name, sql in COLUMNS.items()]
+def projection(engine: dict[str, str]) -> list[str]:
+    """Select list of the registry in one engine's spelling."""
+    return [f"{sql.format(**engine)} AS {name}" for name, sql in COLUMNS.items()]
 
 
 def registro(spark: SparkSession, sf_dir: str, since: Column | None = None) -> DataFrame:
@@ -51,7 +57,7 @@ def registro(spark: SparkSession, sf_dir: str, since: Column | None = None) -> D
     rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     if since is not None:
         rows = rows.filter(F.col("l_shipdate") >= since)
-    return rows.selectExpr(*projection("STRING"))
+    return rows.selectExpr(*projection(SPARK))
 
 
 def newest_month(spark: SparkSession, sf_dir: str) -> Column:

@@ -4,6 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from padron.dictionaries import MONTHS, MONTHS_SHORT
+from padron.functions.literals import text_array
 
 
 def month_start(date: str | Column) -> Column:
@@ -25,13 +26,13 @@ def month_index(date: str | Column) -> Column:
 
 
 def month_name(month: Column, short: bool = False) -> Column:
-    names = F.array(*[F.lit(m) for m in (MONTHS_SHORT if short else MONTHS)])
+    names = text_array(MONTHS_SHORT if short else MONTHS)
     return F.try_element_at(names, month)
 
 
 def month_number(name: Column) -> Column:
     """Number of a capitalised month name, null when it is not one."""
-    names = F.array(*[F.lit(m.capitalize()) for m in MONTHS])
+    names = text_array(m.capitalize() for m in MONTHS)
     return F.nullif(F.array_position(names, name).cast("int"), F.lit(0))
 
 

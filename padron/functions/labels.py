@@ -1,18 +1,17 @@
 """Code -> label expressions, with an open or a closed default."""
 
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from padron.dictionaries import (
     BAND_OTHER, DIMENSIONS, LABELS, NO_DATA, REGION_ALIASES, SIZE_BANDS,
 )
+from padron.functions.literals import sql_text, text_array
 
 
 def _lookup(pairs: dict[str, str], key: Column) -> Column:
-    entries = F.create_map(*[F.lit(v) for v in chain.from_iterable(pairs.items())])
-    return F.try_element_at(entries, key)
+    entries = ", ".join(f"{sql_text(k)}, {sql_text(v)}" for k, v in pairs.items())
+    return F.try_element_at(F.expr(f"map({entries})"), key)
 
 
 def open_label(variable: str, code: Column, labels: dict[str, dict[str, str]] = LABELS) -> Column:
@@ -46,7 +45,7 @@ def size_band(size_label: Column) -> Column:
 
 def band_ordinal(band: Column) -> Column:
     """Display position of a band, starting at 1."""
-    order = F.array(*[F.lit(b) for b in [*SIZE_BANDS, BAND_OTHER]])
+    order = text_array([*SIZE_BANDS, BAND_OTHER])
     return F.array_position(order, band).cast("int")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Window
 
 from padron.dictionaries import RANK_PREFIXES
 from padron.functions.formats import fmt_percent
+from padron.functions.literals import text_array
 
 
 def competition_rank(metric: str, by: Sequence[str]) -> Column:
@@ -40,7 +41,7 @@ def ranking_text(df: DataFrame, n: int = 3, largest: bool = True,
 
 def ranking_item(name: str, metric: str, decimals: int = 1) -> Column:
     """`(i) A (1.2%)` for a row that carries its position in `rn`."""
-    prefix = F.try_element_at(F.array(*[F.lit(p) for p in RANK_PREFIXES]), F.col("rn"))
+    prefix = F.try_element_at(text_array(RANK_PREFIXES), F.col("rn"))
     return F.concat(prefix, F.lit(" "), F.col(name), F.lit(" ("),
                     fmt_percent(F.col(metric), decimals), F.lit(")"))
 

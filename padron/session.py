@@ -16,6 +16,8 @@ def build_session(master: str | None = None, app: str = "padron", **conf: str) -
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Stack traces per column expression cost more than planning these small plans.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
