@@ -259,8 +259,7 @@ def recode_legacy(spark, sf):
 
 @query
 def unpivot_dims(spark, sf):
-    cells = cube.base_cells(registro(spark, sf), ("date", *DIMENSIONS), ["ta"])
-    long = cube.unpivot_dimensions(cells, ("date", "ta"))
+    long = cube.unpivot_dimensions(registro(spark, sf), ("date", "ta"))
     return long.groupBy("date", "variable", "categoria").agg(F.sum("ta").alias("ta"))
 
 

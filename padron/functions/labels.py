@@ -14,14 +14,20 @@ def _lookup(pairs: dict[str, str], key: Column) -> Column:
     return F.try_element_at(F.expr(f"map({entries})"), key)
 
 
+def plain_code(code: Column) -> Column:
+    """Numeric code without leading zeros, as a reader that takes it for a number gives it."""
+    return F.regexp_replace(code, r"^0+(?=\d+$)", "")
+
+
 def open_label(variable: str, code: Column, labels: dict[str, dict[str, str]] = LABELS) -> Column:
     """Label of a code; unknown codes pass through, null gets its own label."""
-    return F.coalesce(_lookup(labels[variable], code), code, F.lit(NO_DATA[variable]))
+    plain = plain_code(code)
+    return F.coalesce(_lookup(labels[variable], plain), plain, F.lit(NO_DATA[variable]))
 
 
 def closed_label(variable: str, code: Column, labels: dict[str, dict[str, str]] = LABELS) -> Column:
     """Label of a code; null and unknown codes share the missing-data label."""
-    return F.coalesce(_lookup(labels[variable], code), F.lit(NO_DATA[variable]))
+    return F.coalesce(_lookup(labels[variable], plain_code(code)), F.lit(NO_DATA[variable]))
 
 
 def long_label(variable: Column, code: Column,

@@ -63,15 +63,16 @@ def national_by_sex(frame: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def unpivot_dimensions(df: DataFrame, keep: Sequence[str | Column],
                        dims: Sequence[str] = DIMENSIONS) -> DataFrame:
     """One row per dimension: its name in `variable`, its code in `categoria`, nulls kept."""
-    return df.unpivot(list(keep), list(dims), "variable", "categoria")
+    return df.select(*keep, *dims).unpivot(list(keep), list(dims), "variable", "categoria")
 
 
 def _one_way(frame: DataFrame, by: Sequence[str], measures: Sequence[str], aggs: list[Column],
              labels: dict[str, dict[str, str]]) -> DataFrame:
-    # Cells first: the rows that are tripled and labelled are the cells, not the microdata.
-    cells = base_cells(frame, ("date", *by, *DIMENSIONS), measures)
-    rows = unpivot_dimensions(cells, ("date", *by, *measures))
-    named = rows.withColumn(
+    # Three rows per input row, but only inside the scan's stage: what is shuffled is one
+    # partial sum per code, and what is labelled is the codes.
+    rows = unpivot_dimensions(frame, ("date", *by, *measures))
+    codes = base_cells(rows, ("date", *by, "variable", "categoria"), measures)
+    named = codes.withColumn(
         "categoria", long_label(F.col("variable"), F.col("categoria"), labels))
     return with_period(named.groupBy("date", "variable", "categoria", *by).agg(*aggs))
 

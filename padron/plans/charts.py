@@ -105,3 +105,23 @@ def sector_trend(marginals: DataFrame) -> DataFrame:
     fitted = loess(rated, "sector_economico", "dia", "tc_mensual")
     return fitted.select("sector_economico", F.date_from_unix_date(F.col("dia").cast("int"))
                          .alias("date"), "tc_mensual", "tendencia")
+
+
+def chart_tables(tables: dict[str, DataFrame], employers: DataFrame,
+                 regions: DataFrame) -> dict[str, DataFrame]:
+    """The table of every chart, from the stored tables, the employer rates in long form
+    and the map dimension."""
+    rates = state_rates(tables["marginals"])
+    return {
+        "mapa": region_map(regions, rates),
+        "barras_entidades": state_bars(rates),
+        "sectores_nacional": national_sectors(tables["state_sector"]),
+        "sectores_entidad": state_sectors(tables["state_sector"]),
+        "tasa_anual_ta": annual_rate_series(tables["national"]),
+        "serie_tp": level_series(tables["national"]),
+        "tasa_anual_mes": same_month_bars(tables["national"]),
+        "patrones_series": employers,
+        "patrones_ultimos": last_points(employers),
+        "patrones_total": employer_total(employers),
+        "tendencia_sectores": sector_trend(tables["marginals"]),
+    }

@@ -13,7 +13,7 @@ from padron.functions.formats import (
     by_sign, fmt_integer, fmt_money, fmt_percent, or_default, versus,
 )
 from padron.functions.measures import pct_of, total
-from padron.operators.growth import YEAR, before
+from padron.operators.growth import YEAR, before, national_indicators, wide_rates
 from padron.operators.periods import latest, latest_row, with_latest
 from padron.operators.ranking import position, ranking_item, top_n
 from padron.operators.reshape import columns_table
@@ -271,6 +271,36 @@ def employer_size_table(figures: DataFrame) -> DataFrame:
                        fmt_percent(pct_of(F.col("n"), F.col("Total"))).alias("% del total"))
 
 
+# --- whole report ---------------------------------------------------------------------------
+
+def monthly_report(tables: dict[str, DataFrame], employers: DataFrame,
+                   reference) -> dict[str, DataFrame]:
+    """Every block, table and sentence of the report, from the stored tables.
+
+    `tables` holds the aggregate tables by name, `employers` the cleaned size
+    sheet of the employer panel and `reference` the month its change is counted
+    from. `write_report` stores the result.
+    """
+    newest = newest_rates(state_rates(tables["marginals"]))
+    ranking = sector_ranking(tables["state_sector"])
+    figures = employer_figures(wide_rates(employers), reference)
+    blocks = {
+        "nacional": national_block(national_indicators(tables["national"])),
+        "entidades": state_block(newest),
+        "sectores": sector_block(ranking),
+        "patrones": employer_block(figures),
+    }
+    return {
+        **blocks,
+        "sexo": sex_block(tables["national_by_sex"]),
+        "tabla_tipo_empleo": employment_type_table(tables["national"], tables["national_by_sex"]),
+        "tabla_entidades": state_table(newest),
+        "tabla_sectores": sector_wage_table(ranking, tables["wage_marginals"]),
+        "tabla_tamano": employer_size_table(figures),
+        "textos": sentences(blocks),
+    }
+
+
 # --- sentences ------------------------------------------------------------------------------
 
 # The sentences of the report, in order, with the block fields they show.

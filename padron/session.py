@@ -1,6 +1,5 @@
 """Session settings and the shared folder for intermediate tables."""
 
-import os
 import tempfile
 import uuid
 
@@ -25,6 +24,9 @@ def build_session(master: str | None = None, app: str = "padron", **conf: str) -
     return builder.getOrCreate()
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor sees: `spark.checkpoint.dir`, or a scratch one in local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -32,9 +34,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="run-")
+    return _local_folders[application]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

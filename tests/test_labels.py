@@ -21,6 +21,13 @@ def test_open_default_keeps_unknown_codes(spark):
     assert got == ["Ciudad de México", "33", "Sin dato (entidad)"]
 
 
+def test_leading_zeros_are_not_part_of_a_code(spark):
+    got = _map(spark, ["09", "033", "0", "00", "S1"], lambda c: open_label("cve_entidad", c))
+    assert got == ["Ciudad de México", "33", "0", "0", "S1"]
+    assert _map(spark, ["0", "00"], lambda c: closed_label("sector_economico_1", c))[0] == (
+        "Agricultura, ganadería, silvicultura, pesca y caza")
+
+
 def test_closed_default_hides_unknown_codes(spark):
     got = _map(spark, ["6", "2", None], lambda c: closed_label("sector_economico_1", c))
     assert got == ["Comercio", "Sin dato (sector)", "Sin dato (sector)"]

@@ -1,14 +1,22 @@
+from types import SimpleNamespace
+
 import pytest
 
-from padron.operators.cube import marginals, measured, national
+from padron.dictionaries import BAND_OTHER, SIZE_BANDS
+from padron.operators.cube import (
+    base_cells, marginals, measured, national, national_by_sex, state_sector, wage_marginals,
+)
 from padron.operators.growth import national_indicators
+from padron.operators.reshape import clean_employers
+from padron.plans.charts import chart_tables
+from padron.plans.report import monthly_report
 from padron.plans.sheets import group_sheets, national_sheets
 from padron.session import materialise, shared_folder
-from padron.sources.employers import read_employers
+from padron.sources.employers import employers_long, read_employers
 from padron.sources.tables import (
     TableReadError, read_snapshot, read_table, write_per_entity, write_report, write_snapshot,
 )
-from contract.registro import registro
+from contract.registro import REFERENCE_MONTH, employer_sheets, regions, registro
 
 SF = "/root/testdata/sf0.001"
 
@@ -44,12 +52,33 @@ def test_reports_have_their_sheets(spark, tmp_path):
     assert {"ranking_tc_anual", "sign_tc_anual"} <= set(states.columns)
     assert "sign_diff_anual" not in states.columns
     bands = read_table(spark, str(tmp_path / "g" / "Otros"))
-    assert [r["Tamaño de patron"] for r in bands.orderBy("orden").collect()] == [
-        "Micro (1-5)", "Pequeña (6-50)", "Mediana (51-250)", "Grande (251+)", "Sin dato"]
+    shown = [r["Tamaño de patron"] for r in bands.orderBy("orden").collect()]
+    assert shown and shown == [b for b in (*SIZE_BANDS, BAND_OTHER) if b in shown]
     wages = read_table(spark, str(tmp_path / "n" / "Resumen_Salarios"), "csv", header=True)
     assert "sign_diff_mensual_sbc" in wages.columns and wages.count() == 83
 
 
+def test_report_and_charts_from_stored_tables(spark, tmp_path):
+    cells = base_cells(measured(registro(spark, SF)))
+    built = {"national": national, "national_by_sex": national_by_sex, "marginals": marginals,
+             "state_sector": state_sector, "wage_marginals": wage_marginals}
+    for name, table in built.items():
+        write_snapshot(table(cells), str(tmp_path / name))
+    tables = {name: read_snapshot(spark, str(tmp_path / name)) for name in built}
+    sheets = {n: clean_employers(df) for n, df in employer_sheets(registro(spark, SF)).items()}
+    report = monthly_report(tables, sheets["tamano"], REFERENCE_MONTH)
+    write_report(report, str(tmp_path / "report"))
+    assert all(df.count() == 1 for n, df in report.items() if n in (
+        "nacional", "entidades", "sectores", "patrones", "sexo"))
+    texts = {r.orden: r.texto for r in report["textos"].collect()}
+    assert len(texts) in (14, 15) and None not in texts.values()
+    assert texts[1].startswith("A noviembre de 2001 hay ")
+    charts = chart_tables(tables, employers_long(sheets), regions(spark, SF))
+    write_report(charts, str(tmp_path / "charts"))
+    assert charts["mapa"].count() == regions(spark, SF).count()
+    assert charts["barras_entidades"].count() > 0
+
+
 def test_employer_sheets_from_csv(spark, tmp_path):
     for name in ("tamano", "sector"):
         spark.createDataFrame([(2024, "Enero", 5)], "`Año` int, Mes string, Total int").write.option(
@@ -63,3 +92,13 @@ def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     copy = materialise(spark.range(4), "t")
     assert copy.count() == 4 and copy.columns == ["id"]
+
+
+def test_shared_folder_when_unset():
+    local, cluster = (
+        SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None),
+                        sparkContext=SimpleNamespace(master=master, applicationId=master))
+        for master in ("local[2]", "spark://host"))
+    assert shared_folder(local) == shared_folder(local)
+    with pytest.raises(ValueError):
+        shared_folder(cluster)
