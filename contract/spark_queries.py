@@ -22,7 +22,7 @@ from padron.session import materialise, new_folder
 from padron.sources import catalog as cat
 from padron.sources.employers import employers_long as long_form
 from padron.sources.employers import read_employers
-from padron.sources.microdata import read_header, read_microdata
+from padron.sources.microdata import read_header, read_microdata, with_source
 from padron.sources.tables import read_snapshot, write_snapshot
 from padron.streaming.ingest import staged_cells, start_ingest
 
@@ -89,16 +89,23 @@ def _state_rates(spark, sf):
 
 # --- sources, sinks, ingestion --------------------------------------------------------------
 
+def _per_file(spark, sf, keys, counts):
+    """Counts of the CSV sources per file, with the period parsed from each file's name."""
+    micro = read_microdata(spark, landing(spark, sf))
+    files = micro.groupBy("file_path", *keys).agg(*[c.alias(n) for n, c in counts.items()])
+    return with_source(files)
+
+
 @query
 def scan_microdata(spark, sf):
     """Every CSV source read back: rows, nulls and sums per file."""
-    micro = read_microdata(spark, landing(spark, sf))
     nulls = ("cve_entidad", "sector_economico_1", "patron", "teu", "tec", "tpu", "tpc")
-    return micro.groupBy("archivo").agg(
-        F.count(F.lit(1)).alias("filas"),
-        *[F.count_if(F.col(c).isNull()).alias(f"nulos_{c}") for c in nulls],
-        *[F.sum(c).alias(c) for c in ("sexo", "ta", "ta_sal")],
-        F.sum("masa_sal_ta").cast("double").alias("masa_sal_ta"))
+    counts = {"filas": F.count(F.lit(1))}
+    counts |= {f"nulos_{c}": F.count_if(F.col(c).isNull()) for c in nulls}
+    counts |= {c: F.sum(c) for c in ("sexo", "ta", "ta_sal", "masa_sal_ta")}
+    sums = _per_file(spark, sf, [], counts).groupBy("archivo").agg(
+        *[F.sum(c).alias(c) for c in counts])
+    return sums.withColumn("masa_sal_ta", F.col("masa_sal_ta").cast("double"))
 
 
 @query
@@ -109,9 +116,9 @@ def file_catalog(spark, sf):
 
 @query
 def period_from_name(spark, sf):
-    """Period of each row from the name of the file it was read from."""
-    micro = read_microdata(spark, landing(spark, sf))
-    return micro.groupBy("archivo", "year", "month", "date").agg(F.count(F.lit(1)).alias("filas"))
+    """Period of each file from its name."""
+    files = _per_file(spark, sf, [], {"filas": F.count(F.lit(1))})
+    return files.groupBy("archivo", "year", "month", "date").agg(F.sum("filas").alias("filas"))
 
 
 @query
@@ -144,9 +151,9 @@ def missing_months(spark, sf):
 @query
 def header_drift(spark, sf):
     """Workers by year and size over both headings of the size column."""
-    micro = read_microdata(spark, landing(spark, sf))
-    return micro.groupBy("year", "patron").agg(
-        F.count(F.lit(1)).alias("filas"), F.sum("ta").alias("ta"))
+    counts = {"filas": F.count(F.lit(1)), "ta": F.sum("ta")}
+    files = _per_file(spark, sf, ["patron"], counts)
+    return files.groupBy("year", "patron").agg(*[F.sum(c).alias(c) for c in counts])
 
 
 @query

@@ -9,7 +9,7 @@ from padron.operators import cube
 from padron.operators.history import upsert
 from padron.schemas import TABLE_KEYS
 from padron.sources.catalog import file_catalog, in_range, new_months
-from padron.sources.microdata import read_microdata
+from padron.sources.microdata import read_microdata, with_source
 from padron.sources.tables import read_table, table_exists, write_snapshot
 
 SOURCE = "archivo"
@@ -26,8 +26,14 @@ TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
 
 
 def source_cells(micro: DataFrame) -> DataFrame:
-    """Base cells kept apart by the file they come from."""
-    return cube.base_cells(cube.measured(micro), (SOURCE, *cube.CELL_KEYS))
+    """Base cells kept apart by the monthly source they come from.
+
+    Rows are first summed per file, so that names are parsed per cell and not
+    per row; then the part files of a source are put together.
+    """
+    codes = [k for k in cube.CELL_KEYS if k != "date"]
+    per_file = cube.base_cells(cube.measured(micro), ("file_path", *codes))
+    return cube.base_cells(with_source(per_file), (SOURCE, *cube.CELL_KEYS))
 
 
 def build_table(name: str, cells: DataFrame) -> DataFrame:

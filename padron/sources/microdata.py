@@ -13,6 +13,10 @@ from padron.sources.catalog import period_from_name, source_name
 CSV_OPTIONS = {"sep": "|", "header": True, "encoding": "ISO-8859-1", "nullValue": "NA"}
 
 
+#: Path of the file a row was read from, as column `file_path`.
+PATH = "_metadata.file_path"
+
+
 def size_column(header: Iterable[str]) -> str:
     """The one column that holds the employer size, whose name changes over the years."""
     found = [c for c in header if "_patron" in c.lower()]
@@ -32,7 +36,9 @@ def read_microdata(spark: SparkSession, paths: list[str]) -> DataFrame:
 
     Sources are grouped by header and each group is one multi-path scan, so the
     plan grows with the number of header variants, not of files. Each path must
-    hold files with one header.
+    hold files with one header. The period columns are parsed from `file_path`
+    on every row that uses them: aggregates should group by `file_path` and call
+    `with_source` on the result.
     """
     if not paths:
         raise FileNotFoundError("no monthly files to read")
@@ -47,12 +53,12 @@ def _read_group(spark: SparkSession, header: list[str], paths: list[str]) -> Dat
     size = size_column(header)
     rows = (spark.read.schema(microdata_schema(header, size)).options(**CSV_OPTIONS)
             .option("recursiveFileLookup", True).csv(paths))
-    return with_source(rows.select("*", "_metadata.file_path")).withColumnRenamed(size, "patron")
+    return with_source(rows.select("*", PATH)).withColumnRenamed(size, "patron")
 
 
-def with_source(rows: DataFrame, path: str = "file_path") -> DataFrame:
-    """Source name and period of each row in place of its file path."""
-    named = rows.withColumn("archivo", source_name(path)).drop(path)
+def with_source(rows: DataFrame) -> DataFrame:
+    """Source name and period of each row, from its file path."""
+    named = rows.withColumn("archivo", source_name("file_path"))
     return named.withColumns(period_from_name("archivo"))
 
 

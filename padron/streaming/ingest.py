@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 from padron.operators.cube import CELL_KEYS, base_cells
 from padron.plans.update import SOURCE, source_cells
 from padron.schemas import microdata_schema
-from padron.sources.microdata import CSV_OPTIONS, size_column, with_source
+from padron.sources.microdata import CSV_OPTIONS, PATH, size_column
 from padron.sources.tables import read_table
 
 
@@ -27,7 +27,7 @@ def start_ingest(spark: SparkSession, inputs: str, header: list[str], staging: s
     rows = (spark.readStream.schema(microdata_schema(header, size)).options(**CSV_OPTIONS)
             .option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_per_batch)
             .csv(inputs))
-    named = with_source(rows.select("*", "_metadata.file_path")).withColumnRenamed(size, "patron")
+    named = rows.select("*", PATH).withColumnRenamed(size, "patron")
     return (named.writeStream.foreachBatch(lambda df, i: store_batch(df, i, staging))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
