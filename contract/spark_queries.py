@@ -209,12 +209,13 @@ def entity_slug(spark, sf):
 def ingest_stream(spark, sf):
     """National table from the CSV sources ingested as a stream, one per heading."""
     staging = new_folder(spark, "stream")
-    parts = []
-    for i, folder in enumerate(landing(spark, sf)):
-        stream = start_ingest(spark, folder, list(read_header(spark, folder)),
-                              f"{staging}/staging{i}", f"{staging}/checkpoint{i}")
+    streams = [
+        start_ingest(spark, folder, list(read_header(spark, folder)),
+                     f"{staging}/cells{i}", f"{staging}/checkpoint{i}")
+        for i, folder in enumerate(landing(spark, sf))]
+    for stream in streams:
         stream.awaitTermination()
-        parts.append(staged_cells(spark, f"{staging}/staging{i}"))
+    parts = [staged_cells(spark, f"{staging}/cells{i}") for i in range(len(streams))]
     return build_table("national", parts[0].unionByName(parts[1]))
 
 
