@@ -5,10 +5,12 @@ from pathlib import Path
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+import __spark_entry__ as entry_point
+from contract import oracle
+from contract.spark_queries import QUERIES
 
 DATA = Path("/root/testdata/sf0.001")
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+SQL = oracle.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="driver tables not present")
 
@@ -23,6 +25,8 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(SQL) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -41,6 +45,6 @@ def _sorted(rows, columns):
 
 
 def test_flagship(spark):
-    df = contract.entry(spark)
+    df = entry_point.entry(spark)
     assert df.count() > 0
     assert "tc_anual_sbc" in df.columns
