@@ -1,8 +1,8 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
 The index holds one posting (term, document, position) for every occurrence of a benchmark term
-in the training documents. A benchmark window is found by its rarest term: the postings of that
-term, moved back by the term's offset, are the places where the item could begin; there the
+in the training documents. A benchmark window is found by its rarest terms: their postings, moved
+back by the terms' offsets and intersected, are the places where the item could begin; there the
 postings of the other terms are intersected. DataFrame functions only.
 
 Defined cases: null or empty text has no words. Rows that share a doc_id (also a null one) are
@@ -19,6 +19,8 @@ from pyspark.sql.window import Window
 from padron.llm.texts import ascii_lower, broadcast_if_small
 from padron.session import materialise
 
+#: Terms of a window whose lists are intersected to find where it may occur.
+RAREST = 3
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -62,10 +64,12 @@ def _with_counts(terms: DataFrame, index: DataFrame) -> DataFrame:
             "offset", F.coalesce("df", F.lit(0)).alias("df"), "word"))).alias("terms"))
 
 
-def _rarest(terms: Column) -> Column:
-    return F.array_min(F.transform(
+def _rarest(terms: Column, count: int) -> Column:
+    """Offsets of the terms with the fewest postings, rarest first."""
+    ordered = F.array_sort(F.transform(
         terms, lambda t: F.struct(t["df"].alias("df"), t["word"].alias("word"),
                                   t["offset"].alias("offset"))))
+    return F.transform(F.slice(ordered, 1, count), lambda t: t["offset"])
 
 
 def _of_documents(index: DataFrame, docs: DataFrame) -> DataFrame:
@@ -81,17 +85,25 @@ def phrase_matches(index: DataFrame, items: DataFrame, window: int) -> DataFrame
     not one per window or pair of words.
     """
     width = F.least(F.lit(window), F.col("n"))
-    anchors = items.select(
-        "_item", F.explode(F.array_distinct(F.transform(
-            F.sequence(F.lit(0), F.col("n") - width),
-            lambda o: _rarest(F.slice("terms", o + 1, width))))).alias("anchor"),
-    ).filter("anchor.df > 0").select(
-        "_item", F.col("anchor.word").alias("word"), F.col("anchor.offset").alias("offset"))
-    anchors = materialise(anchors, "anchors")
-    starts = materialise(
-        index.join(broadcast_if_small(anchors), "word")
-        .select("doc_id", "_item", (F.col("pos") - F.col("offset")).alias("start"))
-        .distinct(), "starts")
+    windows = items.select("_item", "terms", F.array_distinct(F.transform(
+        F.sequence(F.lit(0), F.col("n") - width),
+        lambda o: F.array_sort(_rarest(F.slice("terms", o + 1, width), RAREST)))).alias("windows"))
+    # A window that holds a word without postings occurs nowhere.
+    possible = F.filter("windows", lambda w: F.forall(
+        w, lambda o: F.get("terms", o)["df"] > 0))
+    windows = materialise(windows.withColumn("windows", possible).filter(
+        F.size("windows") > 0), "windows")
+    anchors = materialise(windows.select("_item", "terms", F.explode(F.array_distinct(
+        F.flatten("windows"))).alias("offset")).select(
+        "_item", F.get("terms", F.col("offset"))["word"].alias("word"), "offset"), "anchors")
+    # Lists moved back by their offsets, intersected for each window's rarest terms.
+    meeting = index.join(broadcast_if_small(anchors), "word").groupBy(
+        "doc_id", "_item", (F.col("pos") - F.col("offset")).alias("start")).agg(
+        F.collect_set("offset").alias("offsets"))
+    starts = materialise(meeting.join(
+        broadcast_if_small(windows.select("_item", "windows"), 20_000), "_item").filter(
+        F.exists("windows", lambda w: F.forall(w, lambda o: F.array_contains("offsets", o))))
+        .select("doc_id", "_item", "start"), "starts")
     expected = starts.join(items, "_item").select(
         F.col("doc_id").alias("_doc"), "_item", "item_id", "n", "start",
         F.explode("terms").alias("t"))
