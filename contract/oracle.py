@@ -43,7 +43,7 @@ def money(x: str) -> str:
 
 def short(x: str, d: int = 1) -> str:
     text = f"CAST(CAST(round({x}, {d}) AS DECIMAL(28,{d})) AS VARCHAR)"
-    return rf"(regexp_replace({text}, '\.?0+$', '') || '%')"
+    return rf"(regexp_replace({text}, '\.0+$|(\.\d*?)0+$', '\1') || '%')"
 
 
 def word(x: str, yes: str, no: str) -> str:
@@ -442,6 +442,7 @@ SELECTS: dict[str, str] = {
                   " FROM mapa) m ON r.\"NOMGEO\" = m.categoria",
     "entity_slug": "SELECT DISTINCT entidad, replace(lower(entidad), ' ', '_') AS slug FROM cruce",
     "ingest_stream": "SELECT * FROM nacional",
+    "monthly_job": "SELECT * FROM marg_sexo",
     "row_sum_null_safe": "SELECT date, count(*) AS filas, count(te) AS con_te, count(*) FILTER"
                          " (WHERE te = 0) AS te_cero, count(*) FILTER (WHERE tp = 0) AS tp_cero,"
                          " CAST(sum(te) AS BIGINT) AS te, CAST(sum(tp) AS BIGINT) AS tp"

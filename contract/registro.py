@@ -44,7 +44,7 @@ REFERENCE_MONTH = "2000-11-01"
 #: From this month on the size column carries its accented heading.
 DRIFT_MONTH = "1998-01-01"
 
-_landings: dict[tuple[str, str], list[str]] = {}
+_landings: dict[tuple[str, str], str] = {}
 
 
 def projection(engine: dict[str, str]) -> list[str]:
@@ -68,21 +68,24 @@ def newest_month(spark: SparkSession, sf_dir: str) -> Column:
     return registro(spark, sf_dir).select(F.max("date").cast("timestamp_ntz")).scalar()
 
 
-def landing(spark: SparkSession, sf_dir: str) -> list[str]:
-    """The whole registry as monthly CSV sources, one folder per header variant.
+def landing(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with the whole registry as monthly CSV sources, and a stray file.
 
-    Written once per session. Missing states are the text NA, other missing
-    values are empty fields.
+    Written once per session. From DRIFT_MONTH on half of the rows of each month lie in part
+    files with another heading of the size column and another order of columns. Missing states
+    are the text NA, other missing values are empty fields.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _landings:
         folder = new_folder(spark, "landing")
         rows = registro(spark, sf_dir).withColumn(
             "cve_entidad", F.coalesce("cve_entidad", F.lit("NA")))
-        old = F.col("date") < F.lit(DRIFT_MONTH).cast("date")
-        write_microdata(rows.filter(old), f"{folder}/a", "Tamano_Patron")
-        write_microdata(rows.filter(~old), f"{folder}/b", "tamaño_patron")
-        _landings[key] = [f"{folder}/a", f"{folder}/b"]
+        drifted = (F.col("date") >= F.lit(DRIFT_MONTH).cast("date")) & (F.col("l_suppkey") % 2 == 0)
+        write_microdata(rows.filter(~drifted), folder, "Tamano_Patron")
+        write_microdata(rows.filter(drifted), folder, "tamaño_patron", reverse=True)
+        spark.createDataFrame([("no es un mes",)], "value string").coalesce(1).write.text(
+            f"{folder}/leeme.csv")
+        _landings[key] = folder
     return _landings[key]
 
 

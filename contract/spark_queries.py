@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,15 +17,15 @@ from padron.functions.measures import row_sum, wage_ratio
 from padron.operators import cube, growth, history, periods, reshape
 from padron.operators.ranking import ranking_text as ranking_text_of
 from padron.plans import charts, report, sheets
-from padron.plans.update import build_table
+from padron.plans.update import build_table, publish_tables, update_cells
 from padron.schemas import TABLE_KEYS
 from padron.session import materialise, new_folder
 from padron.sources import catalog as cat
 from padron.sources.employers import employers_long as long_form
 from padron.sources.employers import read_employers
-from padron.sources.microdata import read_header, read_microdata, with_source
-from padron.sources.tables import read_snapshot, write_snapshot
-from padron.streaming.ingest import staged_cells, start_ingest
+from padron.sources.microdata import read_microdata, with_source, write_microdata
+from padron.sources.tables import read_snapshot, read_table, write_per_entity, write_snapshot
+from padron.streaming.ingest import start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,10 +64,8 @@ def _newest_state_sector(spark, sf, since):
 
 
 def _catalog(spark, sf):
-    """Months present in the registry, as a catalog of sources."""
-    months = registro(spark, sf).select("date").distinct()
-    name = F.concat(F.lit("asg-"), F.last_day("date").cast("string"), F.lit(".csv"))
-    return months.withColumn("archivo", name)
+    """Catalog of the monthly CSV sources."""
+    return cat.file_catalog(spark, landing(spark, sf)).select("archivo", "date")
 
 
 def _stored(spark, sf):
@@ -91,7 +90,8 @@ def _state_rates(spark, sf):
 
 def _per_file(spark, sf, keys, counts):
     """Counts of the CSV sources per file, with the period parsed from each file's name."""
-    micro = read_microdata(spark, landing(spark, sf))
+    sources = cat.file_catalog(spark, landing(spark, sf)).select("ruta").collect()
+    micro = read_microdata(spark, [r.ruta for r in sources])  # one short row per month
     files = micro.groupBy("file_path", *keys).agg(*[c.alias(n) for n, c in counts.items()])
     return with_source(files)
 
@@ -110,8 +110,7 @@ def scan_microdata(spark, sf):
 
 @query
 def file_catalog(spark, sf):
-    folder = landing(spark, sf)[0].rsplit("/", 1)[0]
-    return cat.file_catalog(spark, folder).select("archivo", "date")
+    return _catalog(spark, sf)
 
 
 @query
@@ -177,10 +176,19 @@ def history_append(spark, sf):
 
 @query
 def snapshot_roundtrip(spark, sf):
-    """A table replaced by a version computed from itself, then read back."""
+    """A table replaced by an empty version, by a failed write, which leaves it, and by a version
+    computed from stored rows; then read back."""
     path = new_folder(spark, "snapshot")
     write_snapshot(_national(spark, sf), path)
-    write_snapshot(read_snapshot(spark, path).withColumn("ta", F.col("ta") + 1), path)
+    stored = read_snapshot(spark, path)
+    write_snapshot(stored.filter("false"), path)
+    if not read_snapshot(spark, path).isEmpty():
+        raise ValueError("the empty version is not the newest")
+    try:
+        write_snapshot(stored.withColumn("ta", F.raise_error(F.lit("no")).cast("long")), path)
+    except PySparkException:
+        pass
+    write_snapshot(stored.withColumn("ta", F.col("ta") + 1), path)
     return read_snapshot(spark, path)
 
 
@@ -202,21 +210,36 @@ def region_map(spark, sf):
 
 @query
 def entity_slug(spark, sf):
-    return distinct_entities(spark, sf).withColumn("slug", X.slug(F.col("entidad")))
+    """Monthly state tables written one folder per state, then the folders read back."""
+    folder = new_folder(spark, "entities")
+    codes = registro(spark, sf).groupBy("date", "cve_entidad").agg(F.sum("ta").alias("ta"))
+    states = codes.withColumn("entidad", closed_label("cve_entidad", F.col("cve_entidad")))
+    write_per_entity(states, folder, "entidad")
+    return read_table(spark, folder).select("entidad", "slug").distinct()
 
 
 @query
 def ingest_stream(spark, sf):
-    """National table from the CSV sources ingested as a stream, one per heading."""
-    staging = new_folder(spark, "stream")
-    streams = [
-        start_ingest(spark, folder, list(read_header(spark, folder)),
-                     f"{staging}/cells{i}", f"{staging}/checkpoint{i}")
-        for i, folder in enumerate(landing(spark, sf))]
-    for stream in streams:
-        stream.awaitTermination()
-    parts = [staged_cells(spark, f"{staging}/cells{i}") for i in range(len(streams))]
-    return build_table("national", parts[0].unionByName(parts[1]))
+    """National table from the CSV sources ingested as a stream into a store of cells."""
+    store = new_folder(spark, "stream")
+    start_ingest(spark, landing(spark, sf), f"{store}/cells",
+                 f"{store}/checkpoint").awaitTermination()
+    return build_table("national", read_table(spark, f"{store}/cells"))
+
+
+@query
+def monthly_job(spark, sf):
+    """The monthly job: a first run over the older months, a second over the rest, a run over a
+    changed copy of stored months, which changes nothing, and the published tables."""
+    store = new_folder(spark, "job")
+    cells, inputs = f"{store}/cells", landing(spark, sf)
+    update_cells(spark, inputs, cells, date_range=("1900-01-01", "1998-06-30"))
+    update_cells(spark, inputs, cells)
+    changed = registro(spark, sf).filter(F.year("date") == 1996).withColumn("ta", F.col("ta") + 1)
+    write_microdata(changed, f"{store}/changed")
+    update_cells(spark, f"{store}/changed", cells)
+    publish_tables(spark, cells, f"{store}/tables")
+    return read_snapshot(spark, f"{store}/tables/marginals_by_sex")
 
 
 # --- projections, recodes, reshapes ---------------------------------------------------------

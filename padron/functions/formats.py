@@ -39,7 +39,7 @@ def fmt_share(x: Column, decimals: int = 1) -> Column:
 def fmt_short_percent(x: Column, decimals: int = 1) -> Column:
     """Rounded percentage without trailing zeros: `2.0` -> `2%`."""
     fixed = F.round(x, decimals).cast(f"decimal(28,{decimals})").cast("string")
-    return F.concat(F.regexp_replace(fixed, r"\.?0+$", ""), F.lit("%"))
+    return F.concat(F.regexp_replace(fixed, r"\.0+$|(\.\d*?)0+$", "$1"), F.lit("%"))
 
 
 def fmt_millions(x: Column, decimals: int = 2) -> Column:

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from padron.operators import cube
 from padron.operators.history import upsert
 from padron.schemas import TABLE_KEYS
-from padron.sources.catalog import file_catalog, in_range, new_months
-from padron.sources.microdata import read_microdata, with_source
+from padron.sources.catalog import (
+    file_catalog, in_range, list_files, monthly_files, new_months)
+from padron.sources.microdata import read_files, read_microdata
 from padron.sources.tables import read_table, table_exists, write_snapshot
 
-SOURCE = "archivo"
+SOURCE, ORIGIN = "archivo", "origen"
 
 TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "national": lambda c: cube.national(c, by=(SOURCE,)),
@@ -26,14 +27,26 @@ TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
 
 
 def source_cells(micro: DataFrame) -> DataFrame:
-    """Base cells kept apart by the monthly source they come from.
+    """Base cells kept apart by the monthly source and the file they come from.
 
-    Rows are first summed per file, so that names are parsed per cell and not
-    per row; then the part files of a source are put together.
+    Rows are summed per file under a short key, so that the large shuffle carries no paths and
+    names are parsed per cell and not per row. `origen` is the key of the file.
     """
     codes = [k for k in cube.CELL_KEYS if k != "date"]
-    per_file = cube.base_cells(cube.measured(micro), ("file_path", *codes))
-    return cube.base_cells(with_source(per_file), (SOURCE, *cube.CELL_KEYS))
+    keyed = cube.measured(micro).withColumn(ORIGIN, F.xxhash64("file_path"))
+    return cube.base_cells(keyed, (ORIGIN, *codes))
+
+
+def named_cells(cells: DataFrame, files: DataFrame) -> DataFrame:
+    """Adds the source and month of each file, of `monthly_files`, a row per file."""
+    names = files.select(F.xxhash64("file_path").alias(ORIGIN), SOURCE, "date")
+    return cells.join(names, ORIGIN)
+
+
+def store_cells(cells: DataFrame, cells_path: str) -> None:
+    """Add cells to the store, which is partitioned by month."""
+    (cells.hint("rebalance", F.col("date")).write.mode("append").partitionBy("date")
+     .parquet(cells_path))
 
 
 def build_table(name: str, cells: DataFrame) -> DataFrame:
@@ -56,15 +69,51 @@ def update_cells(spark: SparkSession, inputs: str, cells_path: str, mode: str =
         catalog = in_range(catalog, *date_range)
     history = read_table(spark, cells_path) if table_exists(spark, cells_path) else None
     fresh = new_months(catalog, history, mode).select("ruta").orderBy("ruta")
-    paths = [row.ruta for row in fresh.collect()]  # one short row per new monthly file
+    paths = [row.ruta for row in fresh.collect()]  # one short row per new monthly source
     if not paths:
         return False
-    cells = source_cells(read_microdata(spark, paths))
+    files = monthly_files(list_files(spark, paths))
+    cells = named_cells(source_cells(read_microdata(spark, paths)), files)
     (cells.hint("rebalance", F.col("date")).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(cells_path))
     return True
 
 
+def fresh_files(files: DataFrame, history: DataFrame | None) -> DataFrame:
+    """Monthly files that a store lacks: of a month it lacks, or of a source it holds in part.
+
+    A file that is stored is never read again, and a stored month wins over other sources.
+    """
+    if history is None:
+        return files
+    keyed = files.withColumn(ORIGIN, F.xxhash64("file_path"))
+    stored = history.select(ORIGIN, SOURCE, "date").distinct()
+    unread = keyed.join(stored.select(ORIGIN), ORIGIN, "left_anti")
+    owners = stored.select("date", F.col(SOURCE).alias("_owner")).distinct()
+    claims = unread.join(owners, "date", "left").groupBy("path", "file_path", SOURCE, "date").agg(
+        F.count("_owner").alias("_owners"),
+        F.count_if(F.col("_owner") == F.col(SOURCE)).alias("_own"))
+    return claims.filter((F.col("_owners") == 0) | (F.col("_own") > 0)).drop("_owners", "_own")
+
+
+def update_files(spark: SparkSession, paths: list[str], cells_path: str) -> bool:
+    """Add single files, as they arrive, to the store; False when none is new.
+
+    Repeating a call changes nothing, since files that are stored are left out, and a write is
+    seen whole or not at all.
+    """
+    if not paths:
+        return False
+    history = read_table(spark, cells_path) if table_exists(spark, cells_path) else None
+    files = fresh_files(monthly_files(list_files(spark, paths)), history)
+    listed = [r.path for r in files.select("path").orderBy("path").collect()]
+    if not listed:
+        return False
+    rows = source_cells(read_files(spark, listed))
+    store_cells(named_cells(rows, monthly_files(list_files(spark, listed))), cells_path)
+    return True
+
+
 def publish_tables(spark: SparkSession, cells_path: str, folder: str,
                    names: tuple[str, ...] = tuple(TABLES)) -> None:
     """Store a new snapshot of each table, all from the one scan's cells."""

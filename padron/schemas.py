@@ -30,12 +30,3 @@ TABLE_KEYS = {
     "wage_marginals": ("date", "variable", "categoria"),
     "wage_marginals_by_sex": ("date", "variable", "categoria", "sexo"),
 }
-
-
-def microdata_schema(header: list[str], size_column: str) -> T.StructType:
-    """Read schema for one header: known columns typed, the rest kept as text."""
-    fields = []
-    for name in header:
-        known = "patron" if name == size_column else name
-        fields.append(T.StructField(name, MICRODATA_TYPES.get(known, T.StringType())))
-    return T.StructType(fields)

@@ -24,7 +24,8 @@ def build_session(master: str | None = None, app: str = "padron", **conf: str) -
     return builder.getOrCreate()
 
 
-_local_folders: dict[str, str] = {}
+#: Scratch folders of local sessions; they vanish when the program ends.
+_local_folders: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,8 +38,9 @@ def shared_folder(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
     application = spark.sparkContext.applicationId
     if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="run-")
-    return _local_folders[application]
+        _local_folders[application] = tempfile.TemporaryDirectory(
+            prefix="run-", ignore_cleanup_errors=True)
+    return _local_folders[application].name
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -28,18 +28,27 @@ def file_month(name: str | Column) -> Column:
     return month_start(text.try_cast("date"))
 
 
+def list_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Files below one or more paths, read in no part: path, length, and file_path, the name
+    that a scan gives to its rows."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+            .select("path", "length", "_metadata.file_path"))
+
+
+def monthly_files(files: DataFrame) -> DataFrame:
+    """Those files (column `path`) that belong to a source with a valid date, with both."""
+    named = files.withColumn("archivo", source_name("path")).filter(F.col("archivo").isNotNull())
+    return named.withColumn("date", file_month("archivo")).filter(F.col("date").isNotNull())
+
+
 def file_catalog(spark: SparkSession, folder: str) -> DataFrame:
     """One row per monthly source below a folder: name, month, folder or file path, size.
 
     The listing reads no file content. Sources whose name is not a date are left out.
     """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .load(folder).select("path", "length"))
-    named = files.withColumn("archivo", source_name("path")).filter(F.col("archivo").isNotNull())
     inside = F.regexp_replace("path", "(" + FILE_PATTERN + ")/.*$", "$1")
-    sources = (named.withColumn("ruta", inside).groupBy("archivo", "ruta")
-               .agg(F.sum("length").alias("bytes")))
-    return sources.withColumn("date", file_month("archivo")).filter(F.col("date").isNotNull())
+    return (monthly_files(list_files(spark, folder)).withColumn("ruta", inside)
+            .groupBy("archivo", "ruta", "date").agg(F.sum("length").alias("bytes")))
 
 
 def new_months(catalog: DataFrame, history: DataFrame | None, mode: str = "all") -> DataFrame:

@@ -1,21 +1,33 @@
-"""Reading of the monthly pipe-delimited Latin-1 files."""
+"""Strict reading of the monthly pipe-delimited Latin-1 files.
 
-from collections.abc import Iterable
+Columns are bound by name, file by file, so files and part files may order them differently. Every
+field is read as text first: a number may be written as `12` or `12.0`, and anything else in a
+numeric column, a fraction in a count, or a line with a field too few or too many stops the read
+with an error that names the file.
+"""
+
+from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from padron.schemas import MICRODATA_TYPES, microdata_schema
-from padron.sources.catalog import period_from_name, source_name
+from padron.schemas import MICRODATA_TYPES
+from padron.sources.catalog import list_files, period_from_name, source_name
 
 #: An unquoted empty field and the text NA are null; a quoted empty field is empty text.
 CSV_OPTIONS = {"sep": "|", "header": True, "encoding": "ISO-8859-1", "nullValue": "NA"}
 
-
 #: Path of the file a row was read from, as column `file_path`.
 PATH = "_metadata.file_path"
 
+#: Headers that are read at the same time, one short job each.
+HEADER_THREADS = 16
+
+_BROKEN = "_broken_line"
+
 
 def size_column(header: Iterable[str]) -> str:
     """The one column that holds the employer size, whose name changes over the years."""
@@ -26,34 +38,73 @@ def size_column(header: Iterable[str]) -> str:
 
 
 def read_header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names of a source; Spark takes only its first line."""
-    reader = spark.read.option("recursiveFileLookup", True).options(**CSV_OPTIONS)
-    return tuple(reader.csv(path).columns)
+    """Column names of a file; Spark takes only its first line."""
+    return tuple(spark.read.options(**CSV_OPTIONS).csv(path).columns)
+
+
+def headers_of(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by header; the headers are read by a bounded number of jobs at a time."""
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        found = list(pool.map(lambda f: read_header(spark, f), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, header in zip(files, found):
+        groups.setdefault(header, []).append(file)
+    return groups
 
 
 def read_microdata(spark: SparkSession, paths: list[str]) -> DataFrame:
     """All sources as one frame, with the size column named `patron` and the period added.
 
-    Sources are grouped by header and each group is one multi-path scan, so the
-    plan grows with the number of header variants, not of files. Each path must
-    hold files with one header. The period columns are parsed from `file_path`
-    on every row that uses them: aggregates should group by `file_path` and call
-    `with_source` on the result.
+    Paths are files or folders of part files. Files are grouped by header and each group is one
+    scan, so the plan grows with the number of header variants, not of files. The period columns
+    are parsed from `file_path` on every row that uses them: aggregates should group by
+    `file_path` and call `with_source` on the result.
     """
     if not paths:
         raise FileNotFoundError("no monthly files to read")
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        groups.setdefault(read_header(spark, path), []).append(path)
-    frames = [_read_group(spark, list(h), p) for h, p in groups.items()]
+    files = [r.path for r in list_files(spark, paths).select("path").orderBy("path").collect()]
+    return read_files(spark, files)
+
+
+def read_files(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    """As `read_microdata`, for files already listed; one with only a header has no rows."""
+    groups = {h: f for h, f in headers_of(spark, files).items() if h}
+    if not groups:
+        raise FileNotFoundError("the monthly files are empty")
+    frames = [_read_group(spark, list(h), f) for h, f in groups.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _read_group(spark: SparkSession, header: list[str], paths: list[str]) -> DataFrame:
-    size = size_column(header)
-    rows = (spark.read.schema(microdata_schema(header, size)).options(**CSV_OPTIONS)
-            .option("recursiveFileLookup", True).csv(paths))
-    return with_source(rows.select("*", PATH)).withColumnRenamed(size, "patron")
+def _read_group(spark: SparkSession, header: list[str], files: list[str]) -> DataFrame:
+    try:
+        size = size_column(header)
+    except ValueError as error:
+        raise ValueError(f"{files[0]}: {error}") from None
+    text = T.StructType([T.StructField(c, T.StringType()) for c in (*header, _BROKEN)])
+    # Whole lines are parsed, since a line of the wrong width shows only then.
+    rows = (spark.read.schema(text).options(**CSV_OPTIONS)
+            .option("columnNameOfCorruptRecord", _BROKEN).option("columnPruning", False)
+            .csv(files).select("*", PATH))
+    whole = F.when(F.col(_BROKEN).isNull(), F.lit(True)).otherwise(F.raise_error(F.concat(
+        F.lit("line of the wrong width in "), "file_path", F.lit(": "),
+        F.coalesce(_BROKEN, header[0]))).cast("boolean"))  # Spark asks for a column of the line
+    rows = rows.filter(whole).drop(_BROKEN).withColumnRenamed(size, "patron")
+    typed = {c: _number(c, t) for c, t in MICRODATA_TYPES.items()
+             if c in rows.columns and not isinstance(t, T.StringType)}
+    return with_source(rows.withColumns(typed))
+
+
+def _number(name: str, kind: T.DataType) -> Column:
+    """A numeric field; empty is null, and a value that is not of its kind is an error."""
+    field = F.nullif(F.trim(F.col(name)), F.lit(""))
+    value = field.try_cast(T.DecimalType(38, 6))
+    good = value.isNotNull()
+    if not isinstance(kind, T.DecimalType):
+        good = good & (value == F.floor(value))
+    message = F.concat(F.lit(f"{name} is not a number of its kind in "), "file_path",
+                       F.lit(": "), field)
+    return F.when(field.isNull(), F.lit(None).cast(kind)).when(good, value.cast(kind)).otherwise(
+        F.raise_error(message).cast(kind))
 
 
 def with_source(rows: DataFrame) -> DataFrame:
@@ -62,15 +113,18 @@ def with_source(rows: DataFrame) -> DataFrame:
     return named.withColumns(period_from_name("archivo"))
 
 
-def write_microdata(micro: DataFrame, folder: str, size_name: str = "tamaño_patron") -> None:
-    """Write microdata as monthly sources, one folder of part files per month.
+def write_microdata(micro: DataFrame, folder: str, size_name: str = "tamaño_patron",
+                    reverse: bool = False) -> None:
+    """Add microdata to a folder of monthly sources, one folder of part files per month.
 
-    The rebalance by month keeps files large and splits a month that outweighs
-    the others.
+    The rebalance by month keeps files large and splits a month that outweighs the others.
+    `reverse` writes the columns in the opposite order.
     """
     columns = [c for c in MICRODATA_TYPES if c in micro.columns]
     month_end = F.last_day("date").cast("string")
     named = micro.select(
-        F.concat(F.lit("asg-"), month_end, F.lit(".csv")).alias("archivo"), *columns)
+        F.concat(F.lit("asg-"), month_end, F.lit(".csv")).alias("archivo"),
+        *(reversed(columns) if reverse else columns))
     (named.withColumnRenamed("patron", size_name).hint("rebalance", F.col("archivo"))
-     .write.partitionBy("archivo").options(**{**CSV_OPTIONS, "nullValue": ""}).csv(folder))
+     .write.mode("append").partitionBy("archivo")
+     .options(**{**CSV_OPTIONS, "nullValue": ""}).csv(folder))

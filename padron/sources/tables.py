@@ -1,5 +1,6 @@
 """Stored tables: versioned snapshots, report folders, one output per entity."""
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
@@ -21,40 +22,58 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options)
         raise TableReadError(f"could not read {path}: {error}") from error
 
 
+#: Spark's names for a path that is missing and for one without files.
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path holds a table. Anything but a missing or empty path is an error."""
     try:
         read_table(spark, path)
-    except TableReadError:
-        return False
+    except TableReadError as error:
+        condition = error.__cause__.getCondition() or ""
+        if condition.partition(".")[0] in ABSENT:
+            return False
+        raise
     return True
 
 
-def _newest_version(spark: SparkSession, path: str) -> int | None:
-    if not table_exists(spark, path):
+def _versions(spark: SparkSession, path: str) -> DataFrame | None:
+    """The published versions of a table: rows (version, folder), one per write."""
+    published = f"{path}/versions"
+    if not table_exists(spark, published):
         return None
-    versions = read_table(spark, path)
-    if "version" not in versions.columns:
-        raise TableReadError(f"could not read {path}: it holds no versions")
-    return versions.agg(F.max("version")).first()[0]
+    return read_table(spark, published)
+
+
+def _newest(spark: SparkSession, path: str):
+    versions = _versions(spark, path)
+    return versions.orderBy(F.desc("version"), "folder").first() if versions is not None else None
 
 
 def write_snapshot(df: DataFrame, path: str) -> int:
-    """Store a table as its next version.
+    """Store a table as its next version and return its number.
 
-    A job may read the table it replaces: the new rows go to a folder of their
-    own and readers move to it once it is complete. Returns the version.
+    Rows go to a folder of their own; a one-row entry in `versions` publishes it once it is
+    complete. A job may thus read the table it replaces, a write that fails leaves nothing that
+    readers see, and a version without rows is a version like any other. Earlier versions stay.
     """
-    version = (_newest_version(df.sparkSession, path) or 0) + 1
-    df.write.mode("error").parquet(f"{path}/version={version}")
+    spark = df.sparkSession
+    newest = _newest(spark, path)
+    version = newest.version + 1 if newest else 1
+    folder = f"data/{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{folder}")
+    entry = spark.createDataFrame([(version, folder)], "version int, folder string")
+    entry.coalesce(1).write.mode("append").parquet(f"{path}/versions")
     return version
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """Newest version of a table."""
-    version = _newest_version(spark, path)
-    if version is None:
+    newest = _newest(spark, path)
+    if newest is None:
         raise TableReadError(f"could not read {path}: it holds no versions")
-    return read_table(spark, f"{path}/version={version}")
+    return read_table(spark, f"{path}/{newest.folder}")
 
 
 def write_report(sheets: Mapping[str, DataFrame], folder: str, fmt: str = "parquet") -> None:

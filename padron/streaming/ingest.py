@@ -1,41 +1,33 @@
-"""Files to cells as a stream; replayed batches change nothing."""
+"""Files to cells as a stream, through the same catalog, reader and store as the monthly job."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from padron.operators.cube import CELL_KEYS, base_cells
-from padron.plans.update import SOURCE, source_cells
-from padron.schemas import microdata_schema
-from padron.sources.microdata import CSV_OPTIONS, PATH, size_column
-from padron.sources.tables import read_table
+from padron.plans.update import update_files
 
+#: The stream only lists files; their content is read by the batch that stores them.
+LISTING = "path string, modificationTime timestamp, length long, content binary"
 
-def store_batch(batch: DataFrame, batch_id: int, staging: str) -> None:
-    """Cells of one micro-batch in a folder of its own, replaced when the batch is replayed."""
-    source_cells(batch).write.mode("overwrite").parquet(f"{staging}/batch={batch_id}")
 
+def store_batch(batch: DataFrame, cells_path: str) -> None:
+    """Cells of the files of one micro-batch; files already stored are left out.
 
-def start_ingest(spark: SparkSession, inputs: str, header: list[str], staging: str,
-                 checkpoint: str, files_per_batch: int = 1000) -> StreamingQuery:
-    """Read every file not seen yet, then stop.
-
-    A month whose part files fall into several batches stays whole: cells are
-    sums, and `staged_cells` adds them up per source.
+    One short row per new file reaches the driver, as in the monthly job.
     """
-    size = size_column(header)
-    rows = (spark.readStream.schema(microdata_schema(header, size)).options(**CSV_OPTIONS)
-            .option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_per_batch)
-            .csv(inputs))
-    named = rows.select("*", PATH).withColumnRenamed(size, "patron")
-    return (named.writeStream.foreachBatch(lambda df, i: store_batch(df, i, staging))
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    paths = sorted(r.path for r in batch.select("path").distinct().collect())
+    update_files(batch.sparkSession, paths, cells_path)
+
 
+def start_ingest(spark: SparkSession, inputs: str, cells_path: str, checkpoint: str,
+                 files_per_batch: int = 1000) -> StreamingQuery:
+    """Store every file not seen yet, then stop.
 
-def staged_cells(spark: SparkSession, staging: str, history: DataFrame | None = None) -> DataFrame:
-    """Cells of all batches, after the months that `history` already holds."""
-    cells = base_cells(read_table(spark, staging).drop("batch"), (SOURCE, *CELL_KEYS))
-    if history is None:
-        return cells
-    known = history.select(F.col("date")).distinct()
-    return history.unionByName(cells.join(known, "date", "left_anti"), allowMissingColumns=True)
+    Other files than monthly ones are ignored, headers may differ from file to file, and a month
+    whose part files fall into several batches is whole once they have all come. A batch that is
+    replayed, or a new checkpoint over the same folder, changes nothing.
+    """
+    files = (spark.readStream.format("binaryFile").schema(LISTING)
+             .option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_per_batch)
+             .load(inputs).select("path"))
+    return (files.writeStream.foreachBatch(lambda df, _: store_batch(df, cells_path))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

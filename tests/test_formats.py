@@ -21,6 +21,11 @@ from padron.functions import formats as X
     (0.0, X.fmt_signed_percent, "+0.0%"),
     (2.0, X.fmt_short_percent, "2%"),
     (100.0, X.fmt_short_percent, "100%"),
+    (10.0, lambda x: X.fmt_short_percent(x, 0), "10%"),
+    (100.0, lambda x: X.fmt_short_percent(x, 0), "100%"),
+    (0.0, lambda x: X.fmt_short_percent(x, 0), "0%"),
+    (2.5, lambda x: X.fmt_short_percent(x, 3), "2.5%"),
+    (10.05, lambda x: X.fmt_short_percent(x, 3), "10.05%"),
     (-12.34, X.fmt_short_percent, "-12.3%"),
     (0.1234, X.fmt_share, "12.3%"),
     (None, X.fmt_percent, None),

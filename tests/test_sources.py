@@ -122,3 +122,41 @@ def test_written_sources_read_back(spark, inputs, tmp_path):
     key = sorted(set(df.columns) - {"file_path"})
     assert sorted(map(str, df.select(key).collect())) == sorted(map(str, back.select(key).collect()))
     assert back.filter(F.col("archivo").isNull()).isEmpty()
+
+
+def _totals(spark, *paths):
+    rows = national(measured(read_microdata(spark, [str(p) for p in paths]))).collect()
+    return {r.date.month: (r.ta, r.te, r.tp, r.sbc_prom) for r in rows}
+
+
+def test_numbers_may_have_a_zero_fraction(spark, tmp_path):
+    file = write_file(tmp_path, "asg-2024-01-31.csv", [
+        "1|0|S1|1.0|12.0|1|2.00|1|1|50.25|5", "1|0|S1|1|5||||| |0"])
+    assert _totals(spark, file) == {1: (17, 3, 2, 50.25 / 5)}
+
+
+@pytest.mark.parametrize("line", [
+    "1|0|S1|1|x|1|2|1|1|50.25|5", "1|0|S1|1|5.5|1|2|1|1|50.25|5", "1|0|S1|1|5|1|2|1|1|mucho|5",
+    "1|0|S1|1|5|1|2|1|1|50.25", "1|0|S1|1|5|1|2|1|1|50.25|5|9"])
+def test_bad_lines_stop_the_read(spark, tmp_path, line):
+    write_file(tmp_path, "asg-2024-01-31.csv", ["1|0|S1|1|5|1|2|1|1|50.25|5"])
+    write_file(tmp_path, "asg-2024-02-29.csv", ["1|0|S1|1|5|1|2|1|1|50.25|5", line])
+    with pytest.raises(Exception, match="asg-2024-02-29.csv"):
+        _totals(spark, *sorted(tmp_path.glob("*.csv")))
+
+
+def test_two_size_columns_name_the_file(spark, tmp_path):
+    file = write_file(tmp_path, "asg-2024-01-31.csv", [], HEADER + "|otro_patron")
+    with pytest.raises(ValueError, match="asg-2024-01-31.csv"):
+        read_microdata(spark, [str(file)])
+
+
+def test_part_files_may_order_columns_differently(spark, tmp_path):
+    source = tmp_path / "asg-2024-01-31.csv"
+    source.mkdir()
+    write_file(source, "part-0.csv", ["9|0|S3|2|5|1|2|1|1|50.25|5"])
+    write_file(source, "part-1.csv", ["5|50.25|1|1|2|1|5|2|S3|0|9"],
+               "|".join(reversed(HEADER.replace("tamaño", "TAMANO").split("|"))))
+    rows = read_microdata(spark, [str(source)]).drop("file_path").collect()
+    assert len(rows) == 2 and rows[0] == rows[1]
+    assert (rows[0].cve_entidad, rows[0].patron, rows[0].sexo) == ("9", "S3", 2)

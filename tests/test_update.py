@@ -1,12 +1,13 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from padron.operators.history import append_rows, upsert
-from padron.plans.update import TABLES, build_table, publish_tables, update_cells
-from padron.sources.microdata import read_header, read_microdata
-from padron.sources.tables import read_snapshot, read_table
-from padron.streaming.ingest import staged_cells, start_ingest, store_batch
+from padron.plans.update import TABLES, build_table, publish_tables, update_cells, update_files
+from padron.sources.tables import (
+    TableReadError, read_snapshot, read_table, table_exists, write_snapshot)
+from padron.streaming.ingest import start_ingest
 from tests.test_sources import write_file
 
 JAN, FEB, MAR = date(2024, 1, 1), date(2024, 2, 1), date(2024, 3, 1)
@@ -106,48 +107,90 @@ def test_append_fills_missing_columns(spark):
     assert append_rows(None, b).collect() == b.collect()
 
 
-def _stream(spark, inputs, work, files_per_batch):
-    header = list(read_header(spark, str(inputs / "asg-2024-01-31.csv")))
-    query = start_ingest(spark, str(inputs), header, f"{work}/staging", f"{work}/checkpoint",
-                         files_per_batch)
-    query.awaitTermination()
-    return staged_cells(spark, f"{work}/staging")
+def _stream(spark, inputs, work, files_per_batch=1000, checkpoint="checkpoint"):
+    start_ingest(spark, str(inputs), f"{work}/cells", f"{work}/{checkpoint}",
+                 files_per_batch).awaitTermination()
+    return _totals(spark, f"{work}/cells")
 
 
 def test_stream_matches_batch_and_picks_up_new_files(spark, inputs, tmp_path):
-    cells = str(tmp_path / "cells")
+    cells = str(tmp_path / "batch")
     update_cells(spark, str(inputs), cells)
-    first = build_table("national", _stream(spark, inputs, tmp_path, 1))
-    assert {r.date: r.ta for r in first.collect()} == _totals(spark, cells)
+    assert _stream(spark, inputs, tmp_path, 1) == _totals(spark, cells)
     write_file(inputs, "asg-2024-03-31.csv", [_row("5", 7)])
-    second = build_table("national", _stream(spark, inputs, tmp_path, 1))
-    assert {r.date: r.ta for r in second.collect()} == {JAN: 20, FEB: 40, MAR: 7}
-
-
-def test_replayed_batch_changes_nothing(spark, inputs, tmp_path):
-    micro = read_microdata(spark, [str(inputs / "asg-2024-01-31.csv")])
-    staging = str(tmp_path / "staging")
-    for _ in range(2):
-        store_batch(micro, 0, staging)
-    assert sum(r.ta for r in staged_cells(spark, staging).collect()) == 20
-
-
-def test_month_split_over_batches_stays_whole(spark, inputs, tmp_path):
-    micro = read_microdata(spark, [str(inputs / "asg-2024-01-31.csv")])
-    staging = str(tmp_path / "staging")
-    store_batch(micro.filter("sexo = 1"), 0, staging)
-    store_batch(micro.filter("sexo = 2"), 1, staging)
-    got = build_table("national", staged_cells(spark, staging)).first()
-    assert (got.date, got.ta, got.sbc_prom) == (JAN, 20, 10.0)
+    assert _stream(spark, inputs, tmp_path, 1) == {JAN: 20, FEB: 40, MAR: 7}
+    publish_tables(spark, f"{tmp_path}/cells", f"{tmp_path}/tables", names=("national",))
+    assert read_snapshot(spark, f"{tmp_path}/tables/national").count() == 3
+
+
+def test_stream_of_mixed_headers_and_stray_files(spark, inputs, tmp_path):
+    full = ("sector_economico_1|ta|ta_sal|masa_sal_ta|tpc|tpu|tec|teu|sexo|Tamano_Patron|"
+            "cve_entidad")
+    write_file(inputs, "asg-2024-03-31.csv", ["0|7|7|70.00|1|2|3|1|2|S2|5"], full)
+    write_file(inputs, "leeme.csv", ["1|0|S1|1|9|9|9|9|9|9.00|9"])
+    write_file(inputs, "asg-2024-13-31.csv", ["1|0|S1|1|9|9|9|9|9|9.00|9"])
+    assert _stream(spark, inputs, tmp_path) == {JAN: 20, FEB: 40, MAR: 7}
+    row = build_table("national", read_table(spark, f"{tmp_path}/cells")).filter(
+        "month = 3").first()
+    assert (row.te, row.tp, row.sbc_prom) == (4, 3, 10.0)
+    assert None not in {r.date for r in read_table(spark, f"{tmp_path}/cells").collect()}
+
+
+def test_replay_and_new_checkpoint_change_nothing(spark, inputs, tmp_path):
+    first = _stream(spark, inputs, tmp_path)
+    assert _stream(spark, inputs, tmp_path, 1, "second") == first
+    paths = sorted(str(p) for p in inputs.iterdir())
+    assert not update_files(spark, paths, f"{tmp_path}/cells")
+    assert not update_files(spark, [], f"{tmp_path}/cells")
+    assert _totals(spark, f"{tmp_path}/cells") == first
+
+
+def test_month_split_over_batches_is_whole(spark, inputs, tmp_path):
+    source = inputs / "asg-2024-04-30.csv"
+    source.mkdir()
+    write_file(source, "part-0.csv", [_row("1", 3)])
+    write_file(source, "part-1.csv", [_row("1", 4), _row("2", 5)])
+    april = date(2024, 4, 1)
+    assert _stream(spark, inputs, tmp_path, 1) == {JAN: 20, FEB: 40, april: 12}
+    write_file(source, "part-2.csv", [_row("3", 6)])
+    assert _stream(spark, inputs, tmp_path, 1)[april] == 18
+    cells = str(tmp_path / "batch")
+    update_cells(spark, str(inputs), cells)
+    assert _totals(spark, cells) == _totals(spark, f"{tmp_path}/cells")
 
 
 def test_stream_leaves_stored_months_alone(spark, inputs, tmp_path):
-    history = str(tmp_path / "cells")
-    update_cells(spark, str(inputs), history, date_range=("2024-01-01", "2024-01-31"))
+    cells = f"{tmp_path}/cells"
+    update_cells(spark, str(inputs), cells, date_range=("2024-01-01", "2024-01-31"))
     write_file(inputs, "asg-2024-01-31.csv", [_row("1", 999)])
-    header = list(read_header(spark, str(inputs / "asg-2024-01-31.csv")))
-    start_ingest(spark, str(inputs), header, str(tmp_path / "staging"),
-                 str(tmp_path / "checkpoint")).awaitTermination()
-    merged = staged_cells(spark, str(tmp_path / "staging"), read_table(spark, history))
-    got = {r.date: r.ta for r in build_table("national", merged).collect()}
-    assert got == {JAN: 20, FEB: 40}
+    write_file(inputs, "asg-2024-01-15.csv", [_row("1", 999)])
+    assert _stream(spark, inputs, tmp_path) == {JAN: 20, FEB: 40}
+
+
+def test_a_store_that_cannot_be_read_is_no_empty_store(spark, inputs, tmp_path):
+    cells = tmp_path / "cells"
+    (cells / "date=2024-01-01").mkdir(parents=True)
+    (cells / "date=2024-01-01" / "part-0.parquet").write_text("not a table")
+    with pytest.raises(Exception, match="(?i)parquet|footer"):
+        update_cells(spark, str(inputs), str(cells))
+    assert not table_exists(spark, str(tmp_path / "missing"))
+    (tmp_path / "bare").mkdir()
+    assert not table_exists(spark, str(tmp_path / "bare"))
+
+
+def test_snapshots_survive_failed_and_empty_writes(spark, tmp_path):
+    path = str(tmp_path / "table")
+    df = spark.range(3).withColumn("x", F.lit("a"))
+    assert write_snapshot(df, path) == 1
+    broken = df.withColumn("x", F.raise_error(F.lit("stop")).cast("string"))
+    for _ in range(2):
+        with pytest.raises(Exception, match="stop"):
+            write_snapshot(broken, path)
+    assert read_snapshot(spark, path).count() == 3
+    assert write_snapshot(df.filter("id < 0"), path) == 2
+    empty = read_snapshot(spark, path)
+    assert empty.count() == 0 and empty.columns == ["id", "x"]
+    assert write_snapshot(df.filter("id = 1"), path) == 3
+    assert [r.id for r in read_snapshot(spark, path).collect()] == [1]
+    with pytest.raises(TableReadError):
+        read_snapshot(spark, str(tmp_path / "none"))
