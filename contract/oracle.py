@@ -2,7 +2,7 @@
 
 import re
 
-from contract.registro import DUCKDB, REFERENCE_MONTH, projection
+from contract.registro import DUCKDB, INSTITUTE, REFERENCE_MONTH, projection
 from padron.dictionaries import (
     EMPLOYER_SIZES, LABELS, MONTHS, MONTHS_SHORT, NO_DATA, RANK_PREFIXES, SECTORS, SIZES,
     SIZES_LEGACY,
@@ -126,6 +126,7 @@ def _annual_long(source: str, columns: list[str], kind: str) -> str:
 SIZE_COLUMNS = ["Total", *EMPLOYER_SIZES]
 SECTOR_COLUMNS = list(SECTORS.values())
 
+# The size bands.
 _BAND = ("CASE WHEN categoria IN ('1 PT', '2 a 5 PT') THEN 'Micro (1-5)'"
          " WHEN categoria = '6 a 50 PT' THEN 'Pequeña (6-50)'"
          " WHEN categoria = '51 a 250 PT' THEN 'Mediana (51-250)'"
@@ -312,7 +313,8 @@ WITH |= {"b_nacional": _national_block(), "b_entidades": _state_block(), "b_sexo
 def _sentences() -> str:
     parts = []
     for i, block, template in SENTENCES:
-        pieces = re.split(r"\{(\w+)\}", template)
+        shown = template.replace("{ante}", f" ante el {INSTITUTE}")
+        pieces = re.split(r"\{(\w+)\}", shown)
         text = " || ".join(f"CAST({p} AS VARCHAR)" if k % 2 else _s(p)
                            for k, p in enumerate(pieces) if p)
         only = " WHERE entidades_nulas_txt <> 'ninguna entidad'" if i == FLAT_SENTENCE else ""

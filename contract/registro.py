@@ -41,6 +41,9 @@ DUCKDB = {"month": "CAST(date_trunc('month', l_shipdate) AS DATE)", "text": "VAR
 #: Stand-in for the report's fixed reference month.
 REFERENCE_MONTH = "2000-11-01"
 
+#: Stand-in for the name of the body that workers are registered with.
+INSTITUTE = "Instituto"
+
 #: From this month on the size column carries its accented heading.
 DRIFT_MONTH = "1998-01-01"
 

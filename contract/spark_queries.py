@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contract.registro import (
-    REFERENCE_MONTH, employer_sheets, landing, newest_month, regions, registro,
+    INSTITUTE, REFERENCE_MONTH, employer_sheets, landing, newest_month, regions, registro,
 )
 from padron.dictionaries import DIMENSIONS, LABELS, LABELS_LEGACY
 from padron.functions import dates as D
@@ -58,9 +58,9 @@ def _marginal(spark, sf, variable):
     return cube.marginal(_measured(spark, sf), variable)
 
 
-def _newest_state_sector(spark, sf, since):
-    """State by sector from the newest month on."""
-    return cube.state_sector(_measured(spark, sf, since))
+def _newest_state_sector(spark, sf):
+    """State by sector of the newest month, which a scan of one column finds."""
+    return cube.state_sector(_measured(spark, sf, newest_month(spark, sf)))
 
 
 def _catalog(spark, sf):
@@ -86,6 +86,11 @@ def _state_rates(spark, sf):
     return report.state_rates(_marginal(spark, sf, "cve_entidad"))
 
 
+def _newest_rates(spark, sf):
+    """Rates of the newest month, from stored rates: a few rows a month that are read often."""
+    return report.newest_rates(materialise(_state_rates(spark, sf), "rates"))
+
+
 # --- sources, sinks, ingestion --------------------------------------------------------------
 
 def _per_file(spark, sf, keys, counts):
@@ -423,7 +428,7 @@ def distinct_entities(spark, sf):
 @query
 def ranking_text(spark, sf):
     """Five fastest and five slowest states of the latest month, as text."""
-    newest = report.newest_rates(_state_rates(spark, sf))
+    newest = _newest_rates(spark, sf)
     sides = [ranking_text_of(newest, 5, largest).withColumn("tipo", F.lit(kind))
              for kind, largest in (("mayor", True), ("menor", False))]
     return sides[0].unionByName(sides[1])
@@ -460,21 +465,17 @@ def state_rank(spark, sf):
 
 @query
 def state_table(spark, sf):
-    return report.state_table(report.newest_rates(_state_rates(spark, sf)))
+    return report.state_table(_newest_rates(spark, sf))
 
 
 @query
 def sector_share_state(spark, sf):
-    since = newest_month(spark, sf)
-    as_of = since.cast("date")
-    return charts.state_sectors(_newest_state_sector(spark, sf, since), as_of)
+    return charts.state_sectors(_newest_state_sector(spark, sf), one_month=True)
 
 
 @query
 def sector_share_national(spark, sf):
-    since = newest_month(spark, sf)
-    as_of = since.cast("date")
-    return charts.national_sectors(_newest_state_sector(spark, sf, since), as_of)
+    return charts.national_sectors(_newest_state_sector(spark, sf), one_month=True)
 
 
 @query
@@ -484,7 +485,7 @@ def latest_per_series(spark, sf):
 
 @query
 def top3_bottom3(spark, sf):
-    newest = report.newest_rates(_state_rates(spark, sf))
+    newest = _newest_rates(spark, sf)
     return report.extremes(newest)
 
 
@@ -547,24 +548,19 @@ def sex_narrative(spark, sf):
 
 @query
 def sector_narrative(spark, sf):
-    since = newest_month(spark, sf)
-    as_of = since.cast("date")
-    ranking = report.sector_ranking(_newest_state_sector(spark, sf, since), as_of)
-    return report.sector_block(ranking)
+    return report.sector_block(
+        report.sector_ranking(_newest_state_sector(spark, sf), one_month=True))
 
 
 @query
 def sector_wage_table(spark, sf):
-    since = newest_month(spark, sf)
-    as_of = since.cast("date")
-    ranking = report.sector_ranking(_newest_state_sector(spark, sf, since), as_of)
-    wages = cube.wage_marginals(_measured(spark, sf, since))
-    return report.sector_wage_table(ranking, wages, as_of)
+    micro = _measured(spark, sf, newest_month(spark, sf))
+    return report.sector_wages_of_cells(cube.base_cells(micro, ("date", "sector_economico_1")))
 
 
 @query
 def state_narrative(spark, sf):
-    return report.state_block(report.newest_rates(_state_rates(spark, sf)))
+    return report.state_block(_newest_rates(spark, sf))
 
 
 @query
@@ -608,16 +604,18 @@ def summary_sentences(spark, sf):
     """The report text; its blocks share one stored table of cells per month."""
     keys = ("date", "cve_entidad", "sector_economico_1")
     cells = materialise(cube.base_cells(_measured(spark, sf), keys), "cells")
-    newest = report.newest_rates(report.state_rates(cube.marginal(cells, "cve_entidad")))
+    rates = materialise(report.state_rates(cube.marginal(cells, "cve_entidad")), "rates")
+    newest = report.newest_rates(rates)
+    month = cells.agg(F.max("date")).first()[0]  # one value, looked up once
     ranking = report.sector_ranking(
-        cube.state_sector(cells), cells.select(F.max("date")).scalar())
+        cube.state_sector(cells.filter(F.col("date") == F.lit(month))), one_month=True)
     employers = report.employer_figures(_employer_rates(spark, sf), REFERENCE_MONTH)
     return report.sentences({
         "nacional": report.national_block(growth.national_indicators(cube.national(cells))),
         "entidades": report.state_block(newest),
         "sectores": report.sector_block(ranking),
         "patrones": report.employer_block(employers),
-    })
+    }, institute=INSTITUTE)
 
 
 # --- charts ---------------------------------------------------------------------------------

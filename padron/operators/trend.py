@@ -4,6 +4,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPAN = 0.75
+#: Longest series: four centuries of months.
+MAX_POINTS = 5_000
 _MOMENTS = ("n", "s0", "s1", "s2", "s3", "s4", "m0", "m1", "m2")
 
 
@@ -14,11 +16,16 @@ def loess(df: DataFrame, key: str, x: str, y: str, name: str = "tendencia",
     Each point is fitted directly on its `floor(span * n)` nearest neighbours.
     A series travels as one array of its points, so no pair of points ever
     becomes a row; its length is the number of months, not of registry rows.
+    The fit takes time in the square of that length: a series of more than
+    MAX_POINTS is an error.
     """
     point = F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
     lists = (df.filter(F.col(y).isNotNull() & F.col(x).isNotNull())
              .groupBy(key).agg(F.sort_array(F.collect_list(point)).alias("pts")))
     near = F.floor(F.size("pts") * F.lit(span) + F.lit(1e-5)).cast("int")
+    long = F.concat(F.lit(f"more than {MAX_POINTS} points in series "), F.col(key).cast("string"))
+    lists = lists.withColumn("pts", F.when(F.size("pts") <= MAX_POINTS, F.col("pts")).otherwise(
+        F.raise_error(long).cast(lists.schema["pts"].dataType)))
     sized = lists.withColumn("k", F.greatest(near, F.lit(1)))
     pts, k = F.col("pts"), F.col("k")
     # The bandwidth becomes a field of the point, so that it is sorted out once per point.

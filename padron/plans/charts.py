@@ -39,15 +39,19 @@ def state_bars(rates: DataFrame) -> DataFrame:
     })
 
 
-def national_sectors(state_sector: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Share of each sector in the latest month's employment."""
-    rows = rollup_to(latest(state_sector, as_of=as_of), "sector")
+def national_sectors(state_sector: DataFrame, one_month: bool = False) -> DataFrame:
+    """Share of each sector in the latest month's employment.
+
+    With `one_month` the table is known to hold no other month and is not searched for it.
+    """
+    rows = rollup_to(state_sector if one_month else latest(state_sector), "sector")
     return _with_share(rows, "date")
 
 
-def state_sectors(state_sector: DataFrame, as_of: Column | None = None) -> DataFrame:
+def state_sectors(state_sector: DataFrame, one_month: bool = False) -> DataFrame:
     """Share of each sector within its state, with the state's output name."""
-    rows = _with_share(latest(state_sector, as_of=as_of), "date", "entidad")
+    newest = state_sector if one_month else latest(state_sector)
+    rows = _with_share(newest, "date", "entidad")
     return rows.withColumn("slug", slug(F.col("entidad")))
 
 

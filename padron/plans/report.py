@@ -12,7 +12,8 @@ from padron.functions.dates import month_name, period_label
 from padron.functions.formats import (
     by_sign, fmt_integer, fmt_money, fmt_percent, or_default, versus,
 )
-from padron.functions.measures import pct_of, total
+from padron.functions.labels import closed_label, open_label
+from padron.functions.measures import mean_wage, pct_of, total
 from padron.operators.growth import YEAR, before, national_indicators, wide_rates
 from padron.operators.periods import latest, latest_row, with_latest
 from padron.operators.ranking import position, ranking_item, top_n
@@ -187,10 +188,17 @@ def employment_type_table(national: DataFrame, by_sex: DataFrame) -> DataFrame:
 
 # --- sectors --------------------------------------------------------------------------------
 
-def sector_ranking(state_sector: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Sectors of the newest month by size, with their percentage of the total."""
+def sector_ranking(state_sector: DataFrame, one_month: bool = False) -> DataFrame:
+    """Sectors of the newest month by size, with their percentage of the total.
+
+    With `one_month` the table is known to hold no other month and is not searched for it.
+    """
+    rows = state_sector if one_month else latest(state_sector)
+    return _ranked(rows.groupBy("date", "sector").agg(total("ta").alias("ta")))
+
+
+def _ranked(rows: DataFrame) -> DataFrame:
     named = ~F.lower("sector").isin("total", "")
-    rows = latest(state_sector, as_of=as_of).groupBy("date", "sector").agg(total("ta").alias("ta"))
     kept = rows.filter(named)
     whole = F.sum("ta").over(Window.partitionBy("date"))
     return kept.withColumns({"rn": position("ta", "sector", ["date"]),
@@ -213,12 +221,29 @@ def sector_block(ranking: DataFrame) -> DataFrame:
     return _named(ranking.agg(*slots), out)
 
 
-def sector_wage_table(ranking: DataFrame, wages: DataFrame,
-                      as_of: Column | None = None) -> DataFrame:
+def sector_wage_table(ranking: DataFrame, wages: DataFrame) -> DataFrame:
     """Sectors of the newest month with their mean wage."""
     rows = wages.filter(F.col("variable") == "sector_economico_1")
-    newest = latest(rows, as_of=as_of).select(F.col("categoria").alias("sector"), "sbc_prom")
-    return ranking.join(newest, "sector", "left").select(
+    newest = latest(rows).select(F.col("categoria").alias("sector"), "sbc_prom")
+    return _wage_columns(ranking.join(newest, "sector", "left"))
+
+
+def sector_wages_of_cells(cells: DataFrame) -> DataFrame:
+    """The same table from the cells of one month by sector: one aggregate, no join.
+
+    Unknown codes count as workers without a sector, but not in that row's mean wage.
+    """
+    code = F.col("sector_economico_1")
+    sector = closed_label("sector_economico_1", code)
+    same = open_label("sector_economico_1", code) == sector
+    rows = cells.withColumn("sector", sector).groupBy("date", "sector").agg(
+        total("ta").alias("ta"), mean_wage(F.when(same, F.col("masa_ok")),
+                                           F.when(same, F.col("ta_sal_ok"))).alias("sbc_prom"))
+    return _wage_columns(_ranked(rows))
+
+
+def _wage_columns(ranking: DataFrame) -> DataFrame:
+    return ranking.select(
         F.col("rn").alias("orden"), F.col("sector").alias("Sector"),
         fmt_integer(F.col("ta")).alias("Trabajadores"),
         fmt_percent(F.col("pct")).alias("% del total"),
@@ -273,8 +298,8 @@ def employer_size_table(figures: DataFrame) -> DataFrame:
 
 # --- whole report ---------------------------------------------------------------------------
 
-def monthly_report(tables: dict[str, DataFrame], employers: DataFrame,
-                   reference) -> dict[str, DataFrame]:
+def monthly_report(tables: dict[str, DataFrame], employers: DataFrame, reference,
+                   institute: str = "") -> dict[str, DataFrame]:
     """Every block, table and sentence of the report, from the stored tables.
 
     `tables` holds the aggregate tables by name, `employers` the cleaned size
@@ -297,7 +322,7 @@ def monthly_report(tables: dict[str, DataFrame], employers: DataFrame,
         "tabla_entidades": state_table(newest),
         "tabla_sectores": sector_wage_table(ranking, tables["wage_marginals"]),
         "tabla_tamano": employer_size_table(figures),
-        "textos": sentences(blocks),
+        "textos": sentences(blocks, institute),
     }
 
 
@@ -305,7 +330,7 @@ def monthly_report(tables: dict[str, DataFrame], employers: DataFrame,
 
 # The sentences of the report, in order, with the block fields they show.
 SENTENCES = [
-    (1, "nacional", "A {mes_label} hay {ta_fmt} trabajadores asegurados (el {pct_te_fmt} son "
+    (1, "nacional", "A {mes_label} hay {ta_fmt} trabajadores asegurados{ante} (el {pct_te_fmt} son "
      "eventuales y el {pct_tp_fmt} son permanentes)."),
     (2, "nacional", "En {mes_nombre} de {anio} se {verbo_mensual} {abs_mensual_fmt} puestos de "
      "trabajo con respecto al mes anterior. Esto es un {tipo_cambio_mensual} del "
@@ -325,38 +350,44 @@ SENTENCES = [
      "mensual de {tc_mensual_tp_fmt} y un {dir_anual_tp} anual de {tc_anual_tp_fmt}, mientras "
      "que el empleo eventual registró un {dir_mensual_te} mensual de {tc_mensual_te_fmt} y una "
      "tasa anual de {tc_anual_te_fmt}."),
-    (7, "nacional", "Durante el mes de {mes_nombre}, se registró una {dir_acumulado} de "
+    (7, "nacional", "Permanentes: {tp_fmt} ({pct_tp_fmt})"),
+    (8, "nacional", "Eventuales: {te_fmt} ({pct_te_fmt})"),
+    (9, "nacional", "Durante el mes de {mes_nombre}, se registró una {dir_acumulado} de "
      "{acumulado_anio_fmt} nuevos puestos de trabajo durante {anio}."),
-    (8, "nacional", "En {mes_nombre} de {anio}, se registraron {abs_anual_fmt} empleos "
+    (10, "nacional", "En {mes_nombre} de {anio}, se registraron {abs_anual_fmt} empleos "
      "adicionales en comparación con {mes_nombre} de {anio_anterior}."),
-    (9, "entidades", "Las entidades con mayor crecimiento anual en el empleo asegurado fueron "
+    (11, "entidades", "Las entidades con mayor crecimiento anual en el empleo asegurado fueron "
      "{entidad_1} ({tc_entidad_1}), {entidad_2} ({tc_entidad_2}) y {entidad_3} "
      "({tc_entidad_3})."),
-    (10, "entidades", "En contraste, {entidades_nulas_txt} registraron un crecimiento nulo "
-     "(0.0%) en el número de trabajadores registrados."),
-    (11, "entidades", "Por otro lado, las mayores disminuciones anuales se observaron en: "
+    (12, "entidades", "En contraste, {entidades_nulas_txt} registraron un crecimiento nulo "
+     "(0.0%) en el número de trabajadores registrados{ante}."),
+    (13, "entidades", "Por otro lado, las mayores disminuciones anuales se observaron en: "
      "{ranking_menor_txt}."),
-    (12, "sectores", "Por tipo de sector, los que presentaron mayor aumento anual en puestos de "
+    (14, "sectores", "Por tipo de sector, los que presentaron mayor aumento anual en puestos de "
      "trabajo fueron {sector_1} ({pct_s1}), {sector_2} ({pct_s2}) y {sector_3} ({pct_s3})."),
-    (13, "sectores", "El sector de {sector_1} concentró en {mes_label} el {pct_s1} del empleo "
-     "total, seguido de {sector_2} ({pct_s2}) y {sector_3} ({pct_s3}). En conjunto, estos tres "
+    (15, "sectores", "Al interior de los sectores económicos, el sector de {sector_1} concentró en "
+     "{mes_label} el {pct_s1} del empleo total, seguido de {sector_2} ({pct_s2}) y {sector_3} ({pct_s3}). En conjunto, estos tres "
      "sectores agrupan aproximadamente el {pct_top3_fmt} del empleo formal en el país."),
-    (14, "patrones", "En {mes_nombre} de {anio} se registraron {pat_actual_fmt} patrones, lo que "
+    (16, "patrones", "En {mes_nombre} de {anio} se registraron {pat_actual_fmt} patrones, lo que "
      "representa una {dir_anual} anual de {tc_anual_fmt}, cifra {comp_anual} al promedio "
      "histórico ({prom_tc_anual_fmt}) para este mes."),
-    (15, "patrones", "Desde {ref_label}, el número de patrones inscritos ha pasado de "
+    (17, "patrones", "Desde {ref_label}, el número de patrones inscritos ha pasado de "
      "{pat_ref_fmt} a {pat_actual_fmt}, lo que equivale a una reducción de {reduccion_fmt} "
      "registros patronales."),
 ]
 
 #: The sentence that is left out when no state was flat.
-FLAT_SENTENCE = 10
+FLAT_SENTENCE = 12
+
 
+def sentences(blocks: dict[str, DataFrame], institute: str = "") -> DataFrame:
+    """The report text as rows `orden, bloque, texto`, from the one-row blocks by name.
 
-def sentences(blocks: dict[str, DataFrame]) -> DataFrame:
-    """The report text as rows `orden, bloque, texto`, from the one-row blocks by name."""
+    `institute` is the name of the body that workers are registered with, if it is to be shown.
+    """
     frames = []
     for name, block in blocks.items():
+        block = block.withColumn("ante", F.lit(f" ante el {institute}" if institute else ""))
         mine = [(i, text) for i, owner, text in SENTENCES if owner == name]
         rows = [F.struct(F.lit(i).alias("orden"), F.lit(name).alias("bloque"),
                          fill(text).alias("texto")) for i, text in mine]

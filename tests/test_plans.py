@@ -4,17 +4,16 @@ import re
 
 import pytest
 
-import __spark_entry__ as contract
+from contract.spark_queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
 
 
 def plan(spark, name):
     return QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"ingest_stream"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"ingest_stream", "monthly_job"}))
 def test_no_product_and_no_python(spark, name):
     text = plan(spark, name)
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEval",
@@ -49,3 +48,17 @@ def test_one_scan(spark, name):
 def test_aggregation_starts_before_the_shuffle(spark):
     text = plan(spark, "national_monthly")
     assert text.index("functions=[sum") < text.index("Exchange") < text.index("partial_sum")
+
+
+@pytest.mark.parametrize("name", ["sector_share_state", "sector_share_national",
+                                  "sector_narrative", "sector_wage_table"])
+def test_newest_month_takes_one_scan_and_one_column(spark, name):
+    schemas = re.findall(r"ReadSchema: (\S+)", plan(spark, name))
+    narrow = [x for x in schemas if x == "struct<l_shipdate:timestamp_ntz>"]
+    assert len(set(schemas)) == 2 and len(schemas) - len(narrow) == 1
+
+
+@pytest.mark.parametrize("name", ["state_narrative", "top3_bottom3", "ranking_text",
+                                  "state_table"])
+def test_rates_are_read_from_a_stored_table(spark, name):
+    assert "l_shipdate" not in plan(spark, name)

@@ -40,3 +40,10 @@ def test_loess_matches_least_squares(spark, span):
 def test_short_series_has_no_trend(spark):
     df = spark.createDataFrame([("a", 1.0, 2.0), ("a", 2.0, 3.0)], "g string, x double, y double")
     assert [r.tendencia for r in loess(df, "g", "x", "y").collect()] == [None, None]
+
+
+def test_long_series_is_an_error(spark):
+    from padron.operators import trend
+    df = spark.range(trend.MAX_POINTS + 1).selectExpr("'a' AS k", "id AS x", "1.0D AS y")
+    with pytest.raises(Exception, match="more than 5000 points in series a"):
+        trend.loess(df, "k", "x", "y").collect()
