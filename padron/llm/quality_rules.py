@@ -161,7 +161,7 @@ def judge(docs: DataFrame, model_path: str) -> DataFrame:
         bands(measured, "band").filter(F.col("docs") >= MIN_DOCS), "bands"), 10_000)
     joined = measured.join(own, "band", "left")
     within = F.lit(True)
-    wider = F.sqrt(F.greatest(F.lit(1.0), F.lit(FULL_WORDS) / F.col("n_words")))
+    wider = F.sqrt(F.greatest(F.lit(1.0), F.lit(FULL_WORDS) / F.greatest("n_words", F.lit(1))))
     for m in METRICS:
         middle, half = (F.coalesce(F.col(f"{m}_{x}"), F.lit(of_all[f"{m}_{x}"]))
                         for x in ("mid", "half"))

@@ -1,5 +1,6 @@
 """Quality rules: base counts by brute force, verdicts by their bands."""
 
+import random
 from collections import Counter
 
 import pytest
@@ -53,17 +54,15 @@ def test_script(text, script):
 
 
 def test_documents_outside_their_band_go(spark):
-    plain = "the quick brown fox jumps over a lazy dog while other animals look on and wonder why"
-    words = plain.split()
-    rows = [(i, " ".join(words[(i * k + k * k) % len(words)] + str(i % 3) * (k % 50 == 0)
-                         for k in range(1, 90)), "en") for i in range(300)]
+    rng = random.Random(1)
+    plain = ("the quick brown fox jumps over a lazy dog while other animals look on and wonder why "
+             "nobody has ever told them that such things happen only in books for children").split()
+    rows = [(i, " ".join(rng.choice(plain) for _ in range(90)), "en") for i in range(300)]
     rows += [(1000 + i, " ".join(f"☃{chr(0x2600 + (i + k) % 180)}{k}" for k in range(90)), "en")
              for i in range(5)]
-    rows = [r for r in rows if 2 * brute(r[1])[4] <= brute(r[1])[0]]
     out = {r.doc_id: r.kept for r in quality_rules.judge(
         documents(spark, rows), PIECE_BPE).collect()}
-    kept = [out[r[0]] for r in rows if r[0] < 1000]
-    assert kept and all(kept)
+    assert all(v for d, v in out.items() if d < 1000)
     assert not any(v for d, v in out.items() if d >= 1000)
 
 
