@@ -600,6 +600,29 @@ def _needed(sql: str) -> list[str]:
     return [name for name in WITH if name in found]
 
 
+# The sheets, the query with the rows of each, and a column to sum.
+_SHEETS = [
+    ("Sector_Economico", "sector_growth", "ta"), ("Tamaño_Patron", "size_growth", "ta"),
+    ("Entidad_Federativa", "state_rank", "ta"), ("Otros", "size_bands", '"Total"'),
+    ("Todos_Indicadores", "national_indicators", "ta"),
+    ("Resumen_Empleo_Total", "employment_summary", "ta"),
+    ("Resumen_Salarios", "wage_summary", "month"),
+    ("Comparativa_Empleos", "employment_comparison", "ta")]
+
+
+def _report_sheets() -> str:
+    parts = []
+    for sheet, name, column in _SHEETS:
+        body = SELECTS[name]
+        body = f"WITH {body[1:]}" if body.startswith("+") else body
+        parts.append(f"SELECT {_s(sheet)} AS hoja, count(*) AS filas,"
+                     f" CAST(sum({column}) AS BIGINT) AS suma FROM ({body})")
+    return " UNION ALL ".join(parts)
+
+
+SELECTS["report_sheets"] = _report_sheets()
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for name, select in SELECTS.items():

@@ -1,6 +1,7 @@
 """One query per operator, over the registry projection."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,8 @@ from padron.sources import catalog as cat
 from padron.sources.employers import employers_long as long_form
 from padron.sources.employers import read_employers
 from padron.sources.microdata import read_microdata, with_source, write_microdata
-from padron.sources.tables import read_snapshot, read_table, write_per_entity, write_snapshot
+from padron.sources.tables import (
+    read_snapshot, read_table, write_per_entity, write_report, write_snapshot)
 from padron.streaming.ingest import start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -594,6 +596,23 @@ def employment_comparison(spark, sf):
     return sheets.employment_comparison(_indicators(spark, sf))
 
 
+@query
+def report_sheets(spark, sf):
+    """Every group and national sheet stored and read back: its rows and the sum of a column."""
+    folder = new_folder(spark, "sheets")
+    marginal_rows = materialise(cube.marginals(_measured(spark, sf)), "marginals")
+    national = materialise(_indicators(spark, sf), "indicators")
+    written = {**sheets.group_sheets(marginal_rows), **sheets.national_sheets(national)}
+    write_report(written, folder)
+    parts = []
+    for name in written:
+        df = read_table(spark, f"{folder}/{name}")
+        column = next(c for c in ("Total", "ta", "month") if c in df.columns)
+        parts.append(df.agg(F.count(F.lit(1)).alias("filas"), F.sum(column).alias("suma"))
+                     .select(F.lit(name).alias("hoja"), "filas", "suma"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def sign_flags(spark, sf):
     return reshape.sign_flags(_indicators(spark, sf))
