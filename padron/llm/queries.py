@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from padron.llm import (
     classifier, decontamination, line_dedup, mixing, pii, quality_rules, secret_scan, simhash,
     token_counts, token_files)
+from padron.llm.shipping import ship_package
 from padron.session import new_folder
 
 #: Vocabularies, by the paths of the installed package.
@@ -16,6 +17,7 @@ BYTE_BPE, WORD_BPE, PIECE_BPE = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
