@@ -106,17 +106,21 @@ def root_weights(docs: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, block: int = BLOCK,
-        resolution: int = RESOLUTION) -> DataFrame:
+        resolution: int | None = None) -> DataFrame:
     """Per document: doc_id, source, parts, block, slot, place; read in order of (slot, place).
 
     weights: rows (source, weight), by default the square root of the documents of each source.
-    Documents are cut into blocks of `block` along each source; a slot holds one block.
+    Documents are cut into blocks of `block` along each source; a slot holds one block. Without a
+    `resolution` a period has RESOLUTION slots, or as many times that as give four to a source;
+    the schedule of a period takes time in slots times sources.
     """
     narrow = docs.select("doc_id", "source", F.xxhash64("text").alias("_text_hash"))
     targets = root_weights(docs) if weights is None else weights.select(
         source_key(F.col("source")).alias("key"), F.col("weight").cast("double").alias("weight"))
     targets = materialise(targets, "weights")
     sources = targets.count()
+    if resolution is None:
+        resolution = RESOLUTION * max(1, -(-4 * sources // RESOLUTION))
     if 4 * sources > resolution:
         raise ValueError(f"{sources} sources need a resolution of {4 * sources} or more")
     if targets.filter("weight IS NULL OR weight <= 0").count():

@@ -73,3 +73,11 @@ def test_weights_must_cover_and_be_positive(spark):
         mixing.mix(docs, spark.createDataFrame([("x", 1.0), ("y", 0.0)], schema))
     with pytest.raises(ValueError, match="resolution"):
         mixing.mix(docs, resolution=4)
+
+
+def test_many_sources_lengthen_the_period(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RESOLUTION", 10)
+    rows = [(i, "t", "en", f"s{i % 9}") for i in range(90)]
+    out = mixing.mix(documents(spark, rows), block=1).collect()
+    assert sorted(r.doc_id for r in out) == list(range(90))
+    assert {r.parts for r in out} <= {4, 5} and len({r.slot for r in out}) == 90
