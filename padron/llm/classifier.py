@@ -10,7 +10,7 @@ The fit uses at most `sample` labelled rows, those first by a hash of doc_id; ev
 of them is their n-gram numbers, about 10 KB a row. Scores read every text whole.
 
 Defined cases: labels that are null or neither 0 nor 1 and those without doc_id are left out;
-repeated labels count as often as they occur. A null or empty text has no n-grams and gets the
+repeated labels, and documents that repeat a doc_id, count once. A null or empty text has no n-grams and gets the
 score of the model's constant. Without labels of both classes every score is 0.5. Rows are scored
 one by one, repeated ones too. Only doc_id and text are read of the documents.
 """
@@ -162,8 +162,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen),  # `sample` rows at most
                                                F.col("doc_id") == F.col("_id"))
+    # Ids may repeat on both sides; one row of an id and label is taken.
     return texts.select("doc_id", "good", "text").mapInArrow(
-        run, f"doc_id {id_type}, good boolean, slots binary")
+        run, f"doc_id {id_type}, good boolean, slots binary").groupBy("doc_id", "good").agg(
+        F.min("slots").alias("slots"))
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality",
