@@ -56,8 +56,12 @@ def load_tokenizer(path: str):
 
 
 def in_worker(key: tuple, make: Callable):
-    """An object that outlives a task in its Python worker."""
+    """An object that outlives a task in its Python worker, until a task asks for another one.
+
+    Only the newest is kept, so that a job of several stages holds one memo at a time.
+    """
     if key not in _memos:
+        _memos.clear()
         _memos[key] = make()
     return _memos[key]
 
