@@ -140,4 +140,47 @@ FROM ranked r JOIN shares s USING (key)
 JOIN period p ON p.key = r.key AND p.turn = (rank // {mixing.BLOCK}) % s.parts
 """
 
-ORACLE_SQL = {"op1_decontamination": OP1, "op2_line_dedup": OP2, "op5_mixing": OP5}
+OP11 = r"""
+WITH tokens AS (
+  SELECT d, lang, source, unnest(list_filter(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS term
+  FROM (SELECT row_number() OVER () AS d, coalesce(text, '') AS text, coalesce(lang, '') AS lang,
+               coalesce(source, '') AS source FROM documents)),
+counts AS MATERIALIZED (
+  SELECT lang, source, term, count(*) AS n, count(DISTINCT d) AS docs FROM tokens GROUP BY ALL),
+kept AS MATERIALIZED (
+  SELECT lang, term, sum(n)::HUGEINT AS n FROM counts GROUP BY ALL HAVING sum(docs) >= 10),
+sizes AS MATERIALIZED (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS n FROM kept GROUP BY lang),
+groups AS MATERIALIZED (
+  SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+cells AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n, k.n AS all_n
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c
+    ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+shares AS MATERIALIZED (
+  SELECT c.lang, c.source, c.term, c.n,
+         1 + (1000000000 * (c.n + 2)) // (sum(c.n) OVER (PARTITION BY c.lang, c.source) + 2 * s.v) AS p,
+         1 + (1000000000 * (c.all_n + 2)) // (s.n + 2 * s.v) AS q
+  FROM cells c JOIN sizes s USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(v, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+    SELECT x.lang AS l, x.source AS s, y.source AS t,
+           sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) AS v
+    FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+    GROUP BY ALL) ON l = a.lang AND s = a.source AND t = b.source),
+terms AS (
+  SELECT lang, source, term AS item, ((p - q) * (p - q)) // (p + q) AS value
+  FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM (
+  SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (
+    PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', item, value, row_number() OVER (
+    PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM terms)
+WHERE part = 'pair' OR rank <= 10
+"""
+
+ORACLE_SQL = {"op1_decontamination": OP1, "op2_line_dedup": OP2, "op5_mixing": OP5,
+              "op11_source_divergence": OP11}

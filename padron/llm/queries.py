@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from padron.llm import (
     classifier, decontamination, line_dedup, mixing, pii, quality_rules, secret_scan, simhash,
-    token_counts, token_files)
+    source_divergence, token_counts, token_files)
 from padron.llm.shipping import ship_package
 from padron.session import new_folder
 
@@ -67,6 +67,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_line_dedup, op3_token_counts, op4_token_files, op5_mixing,
-    op6_quality_rules, op7_simhash, op8_classifier, op9_pii, op10_secrets)}
+    op6_quality_rules, op7_simhash, op8_classifier, op9_pii, op10_secrets,
+    op11_source_divergence)}
