@@ -182,5 +182,36 @@ SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank F
 WHERE part = 'pair' OR rank <= 10
 """
 
+OP13 = r"""
+WITH doc AS MATERIALIZED (
+  SELECT row_number() OVER () AS d, doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS terms FROM documents),
+item AS MATERIALIZED (
+  SELECT DISTINCT i, item_id, unnest(list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS term
+  FROM (SELECT row_number() OVER () AS i, item_id, text FROM benchmark)),
+size AS MATERIALIZED (
+  SELECT count(*)::HUGEINT AS n, sum(len(terms))::HUGEINT AS l FROM doc WHERE len(terms) > 0),
+posting AS MATERIALIZED (
+  SELECT d, doc_id, term, count(*) AS tf, any_value(n) AS n FROM (
+    SELECT d, doc_id, len(terms) AS n, unnest(terms) AS term FROM doc)
+  SEMI JOIN item USING (term) GROUP BY d, doc_id, term),
+impact AS (
+  SELECT d, doc_id, term,
+         (1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * p.n * s.n) // s.l)) AS impact
+  FROM posting p, size s),
+weight AS (
+  SELECT term, floor(1000 * ln((2 * any_value(s.n) + 2)::DOUBLE / (2 * count(*) + 1)))::HUGEINT AS w
+  FROM posting, size s GROUP BY term),
+scored AS (
+  SELECT i, item_id, d, doc_id, sum(w * impact) AS score
+  FROM item JOIN weight USING (term) JOIN impact USING (term) GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score::BIGINT AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, d) AS rank
+  FROM scored WHERE score > 0) WHERE rank <= 50
+"""
+
 ORACLE_SQL = {"op1_decontamination": OP1, "op2_line_dedup": OP2, "op5_mixing": OP5,
-              "op11_source_divergence": OP11}
+              "op11_source_divergence": OP11, "op13_lexical_search": OP13}

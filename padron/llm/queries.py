@@ -5,8 +5,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from padron.llm import (
-    classifier, decontamination, line_dedup, mixing, pii, quality_rules, secret_scan, simhash,
-    source_divergence, token_counts, token_files)
+    classifier, decontamination, lexical_search, line_dedup, mixing, pii, quality_rules,
+    secret_scan, simhash, source_divergence, token_counts, token_files, toxicity)
 from padron.llm.shipping import ship_package
 from padron.session import new_folder
 
@@ -71,7 +71,17 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.audit_sources(table(spark, sf_dir, "documents"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_line_dedup, op3_token_counts, op4_token_files, op5_mixing,
     op6_quality_rules, op7_simhash, op8_classifier, op9_pii, op10_secrets,
-    op11_source_divergence)}
+    op11_source_divergence, op12_toxicity, op13_lexical_search)}

@@ -12,9 +12,9 @@ cell, which is multiplied by the cell's f. The level of the terms that a group l
 complement of its other levels. Terms are chunked in the order of their frequency, so that a chunk
 holds few levels and a cell many terms.
 
-DataFrame functions only. Texts are cut in the stage that reads them; what is shuffled are partial
-counts of terms. No task holds more than a chunk of 64 terms for the groups of a language, or a
-language's groups.
+Texts are cut and counted in Arrow batches by the tasks that read them; what is shuffled are sums
+by term. All else are DataFrame functions. No task holds more than a chunk of 64 terms for the
+groups of a language, or a language's groups.
 
 Defined cases: null text, lang and source are ''. A group without terms gives every kept term the
 count 0. A language without kept terms has pairs of value 0 and no terms. Documents are rows:
@@ -26,11 +26,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from padron.llm.term_lists import term_rows
+from padron.llm.term_lists import term_counts
 from padron.session import materialise
 
-#: What stands between terms: all of ASCII but letters.
-SEPARATORS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: A term: letters, which are all but the rest of ASCII.
+TERM = rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: Documents of its language that a kept term occurs in at least.
 MIN_DOCS = 10
 #: Most divergent terms listed for each group.
@@ -55,25 +55,21 @@ def divergence(p: Column, q: Column) -> Column:
     return _div((p - q) * (p - q), p + q)
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """Stored rows (lang, source, term, tf, df): occurrences, and documents with the term."""
-    rows = term_rows(docs.select("lang", "source", "text"), SEPARATORS)
-    return materialise(rows.groupBy("lang", "source", "term").agg(
-        F.sum("tf").alias("tf"), F.count("*").alias("df")), "term-counts")
-
-
-def kept_terms(counts: DataFrame, min_docs: int) -> DataFrame:
+def kept_terms(docs: DataFrame, min_docs: int) -> DataFrame:
     """Stored rows of the kept terms: lang, term, tf, id and an array `per` of (source, tf).
 
-    Ids rise with falling frequency within each range of the sort, so that no task numbers a whole
-    language. 64 neighbouring ids are a chunk, and chunks of different languages are told apart by
-    the language.
+    Occurrences are counted by language, source and term before they are dealt by term, where a
+    term's documents over all sources show whether it is kept. Ids rise with falling frequency
+    within each range of a sort, so that no task numbers a whole language. 64 neighbouring ids are
+    a chunk, and chunks of different languages are told apart by the language.
     """
-    summed = counts.groupBy("lang", "term").agg(
-        F.sum("df").alias("df"), F.sum("tf").alias("tf"),
-        F.collect_list(F.struct("source", "tf")).alias("per")).filter(F.col("df") >= min_docs)
+    counts = term_counts(docs, ("lang", "source"), TERM).repartition("lang", "term")
+    of_term = Window.partitionBy("lang", "term")
+    kept = counts.withColumn("docs", F.sum("df").over(of_term)).filter(F.col("docs") >= min_docs)
+    summed = kept.groupBy("lang", "term").agg(
+        F.sum("tf").alias("tf"), F.collect_list(F.struct("source", "tf")).alias("per"))
     order = ["lang", F.desc("tf"), "term"]
-    dealt = materialise(summed.drop("df"), "kept").repartitionByRange(
+    dealt = materialise(summed, "kept").repartitionByRange(
         *order).sortWithinPartitions(*order)
     return materialise(dealt.withColumn("id", F.monotonically_increasing_id()), "kept-ids")
 
@@ -131,29 +127,27 @@ def chunk_levels(bitmaps: DataFrame, groups: DataFrame) -> DataFrame:
     return joined.select("lang", F.transform("groups", complete).alias("all"))
 
 
-def _cells(a: Column, b: Column) -> Column:
-    """Sum over the joint cells of two groups' levels: terms in the cell, times its f."""
-    zero = F.lit(0).cast("long")
-
-    def add(total: Column, x: Column, y: Column) -> Column:
-        both = x["bits"].bitwiseAND(y["bits"])
-        return F.when(both == 0, total).otherwise(
-            total + F.bit_count(both) * divergence(x["p"], y["p"]))
-
-    return F.aggregate(a, zero, lambda total, x: F.aggregate(
-        b, total, lambda inner, y: add(inner, x, y)))
+def pair_sums(levels: DataFrame) -> DataFrame:
+    """Rows (lang, a, b, value), a before b: joint cells with a term, times the cell's f.
 
+    The levels of two groups meet inside a chunk's row, so that their number is bounded by the 64
+    terms of the chunk; sums are formed before the shuffle.
+    """
+    def each(frame: DataFrame, column: str, name: str) -> DataFrame:
+        rest = [c for c in frame.columns if c != column]
+        return frame.select(*rest, F.explode_outer(column).alias(name)).filter(
+            F.col(name).isNotNull())
 
-def pair_sums(levels: DataFrame) -> DataFrame:
-    """Rows (lang, a, b, value), a before b; each chunk's cells are summed before the shuffle."""
     pairs = F.flatten(F.transform("all", lambda a, i: F.transform(
-        F.slice("all", i + 2, F.size("all")), lambda b: F.struct(
-            a["source"].alias("a"), b["source"].alias("b"),
-            _cells(a["levels"], b["levels"]).alias("value")))))
-    rows = levels.select("lang", F.explode_outer(pairs).alias("p")).filter(F.col("p").isNotNull())
-    return rows.groupBy(
-        "lang", F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(
-        F.sum("p.value").alias("value"))
+        F.slice("all", i + 2, F.size("all")), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    rows = each(levels.select("lang", pairs.alias("pairs")), "pairs", "pair").select(
+        "lang", F.col("pair.a.source").alias("a"), F.col("pair.b.source").alias("b"),
+        F.col("pair.a.levels").alias("left"), F.col("pair.b.levels").alias("right"))
+    cells = each(each(rows, "left", "x"), "right", "y")
+    terms = F.bit_count(F.col("x.bits").bitwiseAND(F.col("y.bits")))
+    f = divergence(F.col("x.p"), F.col("y.p"))
+    return cells.select("lang", "a", "b", F.when(terms > 0, terms * f).alias("value")).groupBy(
+        "lang", "a", "b").agg(F.sum("value").alias("value"))
 
 
 def pair_values(groups: DataFrame, sums: DataFrame) -> DataFrame:
@@ -190,7 +184,7 @@ def audit_sources(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) ->
     """
     named = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
                           for c in ("text", "lang", "source")])
-    kept = kept_terms(term_counts(named), min_docs)
+    kept = kept_terms(named, min_docs)
     groups = group_sizes(named, kept)
     levels = chunk_levels(level_bitmaps(kept), groups)
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")

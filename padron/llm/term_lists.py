@@ -1,35 +1,78 @@
-"""Distinct terms of whole texts with their numbers of occurrences, by SQL functions alone."""
+"""Terms of whole texts, counted in Arrow batches.
 
+Texts are taken as UTF-8 bytes, where lower() changes A-Z alone and a term ends at ASCII bytes
+only. A null text is empty.
+"""
+
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from padron.llm.texts import ascii_lower
+#: Distinct terms that a task counts before it hands its sums on.
+HELD = 400_000
+#: Rows of an Arrow batch that a task returns.
+BATCH = 50_000
+
 
+def byte_texts(batch: pa.RecordBatch, name: str = "text") -> Iterator[bytes]:
+    """The texts of a batch one by one, in lower case."""
+    for value in batch.column(name).cast(pa.binary()):
+        yield (value.as_py() or b"").lower()
 
-def with_terms(texts: DataFrame, separators: str) -> DataFrame:
-    """Replaces the column `text` by `terms`, an array of (term, tf): each distinct term once.
 
-    The words are sorted, so that equal ones stand together and the length of a run is the count.
-    Null and empty texts have an empty array. Texts stay rows of their own; nothing is shuffled.
+def term_counts(docs: DataFrame, by: tuple[str, ...], pattern: bytes) -> DataFrame:
+    """Rows (*by, term, tf, df): occurrences, and texts with the term, for each group of rows.
+
+    The columns of `by` are text without nulls. A task sums in memory of bounded size, so that
+    what is shuffled is a term of a group once for each task, or a few times.
     """
-    words, starts = F.col("_words"), F.col("_starts")
-    rest = [c for c in texts.columns if c != "text"]
-    # Step by step, so that each array is computed once and not for each use of it.
-    cut = texts.withColumn("_words", F.sort_array(F.split(ascii_lower(F.col("text")), separators)))
-    first = F.transform(words, lambda w, i: F.when((i == 0) | (w != F.get(words, i - 1)), i))
-    runs = cut.withColumn("_starts", F.filter(first, lambda i: i.isNotNull()))
-    pairs = F.transform(starts, lambda s, k: F.struct(
-        F.get(words, s).alias("term"),
-        (F.coalesce(F.get(starts, k + 1), F.size(words)) - s).cast("long").alias("tf")))
-    # Separators at an end of the text leave empty words.
-    return runs.select(*rest, F.filter(pairs, lambda t: t["term"] != "").alias("terms"))
-
-
-def term_rows(texts: DataFrame, separators: str) -> DataFrame:
-    """One row per text and distinct term: the other columns, term and tf."""
-    listed = with_terms(texts, separators)
-    rest = [c for c in listed.columns if c != "terms"]
-    # An outer explode: before a plain one Spark filters on the size of the array, and computes
-    # the whole array again for that, once for every use of it in a lambda.
-    rows = listed.select(*rest, F.explode_outer("terms").alias("_t"))
-    return rows.filter(F.col("_t").isNotNull()).select(*rest, "_t.term", "_t.tf")
+    find = re.compile(pattern).findall
+
+    def rows(held: dict) -> Iterator[pa.RecordBatch]:
+        for group, (tf, df) in held.items():
+            terms = list(tf)
+            for i in range(0, len(terms), BATCH):
+                part = terms[i:i + BATCH]
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array([g] * len(part), pa.string()) for g in group),
+                     pa.array(part, pa.binary()).cast(pa.string()),
+                     pa.array([tf[t] for t in part], pa.int64()),
+                     pa.array([df[t] for t in part], pa.int64())], [*by, "term", "tf", "df"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, tuple[Counter, Counter]] = {}
+        for batch in batches:
+            groups = zip(*(batch.column(c).to_pylist() for c in by))
+            for group, text in zip(groups, byte_texts(batch)):
+                words = find(text)
+                tf, df = held.setdefault(group, (Counter(), Counter()))
+                tf.update(words)
+                df.update(set(words))
+            if sum(len(tf) for tf, _ in held.values()) > HELD:
+                yield from rows(held)
+                held = {}
+        yield from rows(held)
+
+    kinds = ", ".join(f"{c} string" for c in by)
+    partial = docs.select(*by, "text").mapInArrow(
+        run, f"{kinds}, term string, tf long, df long")
+    return partial.groupBy(*by, "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+
+
+def distinct_terms(texts: DataFrame, key: str, pattern: bytes) -> DataFrame:
+    """Rows (key, term), each term of a text once; key is a long."""
+    find = re.compile(pattern).findall
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for value, text in zip(batch.column(key), byte_texts(batch)):
+                terms = sorted(set(find(text)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([value.as_py()] * len(terms), pa.int64()),
+                     pa.array(terms, pa.binary()).cast(pa.string())], [key, "term"])
+
+    return texts.select(key, "text").mapInArrow(run, f"{key} long, term string")
