@@ -11,9 +11,8 @@ rows to files by ranges of their slots, and Spark tells each row's file and plac
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from padron.llm import decontamination, mixing, quality_rules, similar, token_files
+from padron.llm import decontamination, mixing, quality_rules, simhash, token_files
 from padron.llm.queries import PIECE_BPE, WORD_BPE, table
 from padron.llm.shipping import ship_package
 from padron.llm.texts import without
@@ -28,13 +27,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of five-word Jaccard 0.8 or more.
+    """The document with the smallest doc_id of each group of linked fingerprints (operator 7).
 
-    Rows without doc_id go together if one of them is a copy of a row with an id. Rows that repeat
-    a kept doc_id are reduced to one.
+    Rows without doc_id go together if one of them is linked with a row that has an id. Rows that
+    repeat a kept doc_id are reduced to one.
     """
     ship_package(spark)
-    groups = similar.similar_documents(docs)
+    groups = materialise(simhash.near_duplicates(docs).select("doc_id", "component_id"), "groups")
     gone = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = without(docs, materialise(gone.select("doc_id"), "copies"))
     repeated = materialise(groups.groupBy("doc_id").count().filter("count > 1")
@@ -54,29 +53,39 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in files that follow the slots of the schedule."""
-    places = materialise(mixing.mix(docs).select(
-        F.col("doc_id").alias("_id"), "slot", "place").groupBy("_id").agg(
+    """All documents, in files that follow the slots of the schedule.
+
+    The small table of places is cut into ranges, one for each file; the texts then go to the
+    number of their range, so that they are neither sampled nor sorted across tasks.
+    """
+    places = materialise(mixing.mix(docs).groupBy(F.col("doc_id").alias("id")).agg(
         F.min(F.struct("slot", "place")).alias("at")), "places")
-    # One row per document: a table that grows with the corpus and is never broadcast.
-    places = places.hint("merge")
-    order = [F.col("at.slot"), F.col("at.place")]
-    return docs.join(places, docs["doc_id"].eqNullSafe(places["_id"])).repartitionByRange(
-        *order).sortWithinPartitions(*order).select(*docs.columns)
+    ranges = materialise(places.repartitionByRange("at").select(
+        "id", "at", F.spark_partition_id().alias("file")), "ranges")
+    files = 1 + (ranges.agg(F.max("file")).first()[0] or 0)
+    # One row per document: a table that grows with the corpus and is never broadcast. Both sides
+    # are structs until the end, so that no column of the documents can clash.
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    placed = whole.join(ranges.select(F.struct("id", "at", "file").alias("to")).hint("merge"),
+                        F.col("doc.doc_id").eqNullSafe(F.col("to.id")))
+    return placed.repartitionById(files, F.col("to.file")).sortWithinPartitions(
+        "to.at").select("doc.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, from files in the mixed order.
 
-    Documents that do not come from files have no such order and follow by doc_id.
+    The order is that of the numbers of the part files, and of the rows in them. Documents that do
+    not come from files have no such order and follow by doc_id.
     """
     ship_package(spark)
-    order = ("_file", "_row")
-    try:
-        placed = docs.select("doc_id", "text", F.col("_metadata.file_name").alias("_file"),
-                             F.col("_metadata.row_index").alias("_row"))
-    except AnalysisException:
-        placed, order = docs.select("doc_id", "text"), ("doc_id",)
+    placed, order = docs.select("doc_id", "text"), ("doc_id",)
+    if docs.inputFiles():
+        file = docs.metadataColumn("_metadata")
+        part = F.regexp_extract(file["file_name"], r"part-(\d+)", 1).try_cast("long")
+        placed = docs.select("doc_id", "text", part.alias("_part"), file["file_name"].alias("_file"),
+                             file["row_index"].alias("_row"))
+        order = ("_part", "_file", "_row")
     path = new_folder(spark, "tokens")
     token_files.write_token_file(placed, WORD_BPE, path, order=order)
     return token_files.token_digests(spark, path)

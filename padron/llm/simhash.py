@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from padron.llm.texts import text_slices
+from padron.llm.token_counts import in_worker
 from padron.session import materialise
 
 #: Fingerprints from which the trees are built on the driver: 8 bytes each.
@@ -73,6 +74,7 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        in_worker(("fingerprints",), dict)  # lets go of what another stage left in this worker
         for batch, texts in text_slices(batches):
             values = np.array([fingerprint(t, width) for t in texts], np.uint64)
             yield pa.RecordBatch.from_arrays(
