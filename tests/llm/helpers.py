@@ -7,7 +7,8 @@ from pyspark.sql import SparkSession
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns whose names clash with those that operators make.
 CLASHES = ["word", "pos", "_item", "known", "key", "rank", "slot", "part", "ids", "fp", "root",
-           "score", "band", "spans", "start", "n_tokens", "_id", "_doc", "lines", "host"]
+           "score", "band", "spans", "start", "n_tokens", "_id", "_doc", "lines", "host",
+           "at", "id", "file", "doc", "to", "_part", "_file", "_metadata"]
 
 
 def documents(spark: SparkSession, rows: list[tuple], clash: bool = True):

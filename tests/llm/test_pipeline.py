@@ -31,7 +31,7 @@ def duck():
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry_point.queries())
     assert set(ORACLE_SQL) <= set(entry_point.oracle_sql())
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in QUERIES)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in QUERIES)] == []
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
@@ -109,7 +109,7 @@ def test_stages_keep_the_columns(spark, tmp_path):
 
 @pytest.mark.parametrize("rows", [[], EDGE])
 def test_stages_take_awkward_rows(spark, tmp_path, rows):
-    docs = documents(spark, rows, clash=False)
+    docs = documents(spark, rows)
     for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
         docs.write.parquet(str(tmp_path / f"{i}{len(rows)}"))
         docs = spark.read.parquet(str(tmp_path / f"{i}{len(rows)}"))
