@@ -2,7 +2,7 @@
 
 import re
 
-from contract.registro import DUCKDB, INSTITUTE, REFERENCE_MONTH, projection
+from contract.registro import BROKEN_LINES, DUCKDB, INSTITUTE, REFERENCE_MONTH, projection
 from padron.dictionaries import (
     EMPLOYER_SIZES, LABELS, MONTHS, MONTHS_SHORT, NO_DATA, RANK_PREFIXES, SECTORS, SIZES,
     SIZES_LEGACY,
@@ -12,6 +12,13 @@ from padron.plans.report import FLAT, FLAT_SENTENCE, SENTENCES
 
 # --- text helpers ---------------------------------------------------------------------------
 
+#: Tables of the one-pass query with their views and values.
+_ONE_PASS = [("national", "nacional", "ta"), ("national_by_sex", "por_sexo", "ta"),
+             ("marginals", "marg", "ta"), ("marginals_by_sex", "marg_sexo", "ta"),
+             ("state_sector", "cruce", "ta"), ("wage_marginals", "sbc", "sbc_prom"),
+             ("wage_marginals_by_sex", "sbc_sexo", "sbc_prom")]
+
+
 def _s(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -445,6 +452,16 @@ SELECTS: dict[str, str] = {
     "entity_slug": "SELECT DISTINCT entidad, replace(lower(entidad), ' ', '_') AS slug FROM cruce",
     "ingest_stream": "SELECT * FROM nacional",
     "monthly_job": "SELECT * FROM marg_sexo",
+    "tables_in_one_pass": " UNION ALL ".join(
+        f"SELECT '{name}' AS tabla, year, count(*) AS filas, count({value}) AS con_valor,"
+        f" CAST(round(sum({value}), 3) AS DOUBLE) AS suma FROM {view} GROUP BY year"
+        for name, view, value in _ONE_PASS),
+    "quarantine": "SELECT date, '' AS motivo, CAST(sum(ta) AS BIGINT) AS valor FROM registro"
+                  " WHERE year(date) = 1997 GROUP BY date UNION ALL SELECT "
+                  f"{DUCKDB['month']} AS date, CASE l_partkey % 150 "
+                  + " ".join(f"WHEN {k} THEN '{why}'" for k, (_, why) in BROKEN_LINES.items())
+                  + " END AS motivo, count(*) AS valor FROM lineitem WHERE l_partkey % 150 IN"
+                  " (0, 50, 100) AND year(l_shipdate) = 1997 GROUP BY ALL",
     "row_sum_null_safe": "SELECT date, count(*) AS filas, count(te) AS con_te, count(*) FILTER"
                          " (WHERE te = 0) AS te_cero, count(*) FILTER (WHERE tp = 0) AS tp_cero,"
                          " CAST(sum(te) AS BIGINT) AS te, CAST(sum(tp) AS BIGINT) AS tp"

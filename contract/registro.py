@@ -92,6 +92,31 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
     return _landings[key]
 
 
+#: Broken lines of the quarantine query by the remainder of l_partkey, each with its reason.
+BROKEN_LINES = {0: ("1|0|S1", "line of the wrong width"),
+                50: ("1|0|S1|1|x12|1|1|1|1|1.00|1", "ta is not a number of its kind"),
+                100: ("1|0|S1|1|1|1|1|2.5|1|1.00|1", "tpu is not a number of its kind")}
+
+
+def broken_landing(spark: SparkSession, sf_dir: str) -> str:
+    """Sources of one year as CSV, with a part file of broken lines beside the good ones."""
+    folder = new_folder(spark, "broken")
+    rows = registro(spark, sf_dir).filter(F.year("date") == 1997)
+    write_microdata(rows, folder, "Tamano_Patron")
+    with_key = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
+        f"{COLUMNS['date'].format(**SPARK)} AS date", "l_partkey % 150 AS clase")
+    line = F.create_map(*[F.lit(x) for k, (v, _) in BROKEN_LINES.items() for x in (k, v)])
+    header = ("cve_entidad|sector_economico_1|Tamano_Patron|sexo|ta|teu|tec|tpu|tpc|masa_sal_ta"
+              "|ta_sal")
+    lines = with_key.filter((F.year("date") == 1997) & F.col("clase").isin(*BROKEN_LINES)).groupBy(
+        "date").agg(F.collect_list(line[F.col("clase").cast("int")]).alias("lines"))
+    name = F.concat(F.lit("asg-"), F.last_day("date").cast("string"), F.lit(".csv"))
+    text = F.array_join(F.concat(F.array(F.lit(header)), F.col("lines")), "\n")
+    lines.select(name.alias("archivo"), text.alias("value")).write.mode("append").partitionBy(
+        "archivo").text(folder)
+    return folder
+
+
 def employer_sheet(reg: DataFrame, dimension: str, columns: dict[str, str],
                    with_total: bool) -> DataFrame:
     """Distinct suppliers per month, overall and per code, one column each.

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contract.registro import (
-    INSTITUTE, REFERENCE_MONTH, employer_sheets, landing, newest_month, regions, registro,
+    INSTITUTE, REFERENCE_MONTH, broken_landing, employer_sheets, landing, newest_month, regions,
+    registro,
 )
 from padron.dictionaries import DIMENSIONS, LABELS, LABELS_LEGACY
 from padron.functions import dates as D
@@ -18,7 +19,7 @@ from padron.functions.measures import row_sum, wage_ratio
 from padron.operators import cube, growth, history, periods, reshape
 from padron.operators.ranking import ranking_text as ranking_text_of
 from padron.plans import charts, report, sheets
-from padron.plans.update import build_table, publish_tables, update_cells
+from padron.plans.update import build_table, refresh_tables, update_cells
 from padron.schemas import TABLE_KEYS
 from padron.session import materialise, new_folder
 from padron.sources import catalog as cat
@@ -227,26 +228,56 @@ def entity_slug(spark, sf):
 
 @query
 def ingest_stream(spark, sf):
-    """National table from the CSV sources ingested as a stream into a store of cells."""
+    """National table from the CSV sources ingested as a stream, which keeps it up to date."""
     store = new_folder(spark, "stream")
-    start_ingest(spark, landing(spark, sf), f"{store}/cells",
-                 f"{store}/checkpoint").awaitTermination()
-    return build_table("national", read_table(spark, f"{store}/cells"))
+    start_ingest(spark, landing(spark, sf), f"{store}/cells", f"{store}/checkpoint",
+                 tables=f"{store}/tables").awaitTermination()
+    return read_table(spark, f"{store}/tables/national")
 
 
 @query
 def monthly_job(spark, sf):
     """The monthly job: a first run over the older months, a second over the rest, a run over a
-    changed copy of stored months, which changes nothing, and the published tables."""
+    changed copy of stored months, which changes nothing, and the published tables, of which each
+    run rewrites its own months."""
     store = new_folder(spark, "job")
-    cells, inputs = f"{store}/cells", landing(spark, sf)
+    cells, inputs, tables = f"{store}/cells", landing(spark, sf), f"{store}/tables"
     update_cells(spark, inputs, cells, date_range=("1900-01-01", "1998-06-30"))
+    refresh_tables(spark, cells, tables)
     update_cells(spark, inputs, cells)
+    refresh_tables(spark, cells, tables)
     changed = registro(spark, sf).filter(F.year("date") == 1996).withColumn("ta", F.col("ta") + 1)
     write_microdata(changed, f"{store}/changed")
     update_cells(spark, f"{store}/changed", cells)
-    publish_tables(spark, cells, f"{store}/tables")
-    return read_snapshot(spark, f"{store}/tables/marginals_by_sex")
+    refresh_tables(spark, cells, tables)
+    return read_table(spark, f"{tables}/marginals_by_sex")
+
+
+@query
+def tables_in_one_pass(spark, sf):
+    """Rows and sums of every table, all from one aggregate over grouping sets."""
+    sums = materialise(cube.grouped_sums(_measured(spark, sf)), "sums")
+    parts = []
+    for name, rows in cube.tables_of(sums).items():
+        value = "ta" if "ta" in rows.columns else "sbc_prom"
+        parts.append(rows.groupBy("year").agg(
+            F.count(F.lit(1)).alias("filas"), F.count(value).alias("con_valor"),
+            F.round(F.sum(value), 3).cast("double").alias("suma"))
+            .select(F.lit(name).alias("tabla"), "year", "filas", "con_valor", "suma"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def quarantine(spark, sf):
+    """A tolerant run over sources with broken lines: the good lines' workers by month, and the
+    rejected lines by month and reason."""
+    store = new_folder(spark, "quarantine")
+    cells, rejected = f"{store}/cells", f"{store}/rejected"
+    update_cells(spark, broken_landing(spark, sf), cells, rejected_path=rejected, max_rejected=0.2)
+    good = read_table(spark, cells).groupBy("date").agg(F.sum("ta").alias("valor")).withColumn(
+        "motivo", F.lit(""))
+    bad = read_table(spark, rejected).groupBy("date", "motivo").agg(F.sum("filas").alias("valor"))
+    return good.unionByName(bad)
 
 
 # --- projections, recodes, reshapes ---------------------------------------------------------

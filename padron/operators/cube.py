@@ -72,6 +72,11 @@ def _one_way(frame: DataFrame, by: Sequence[str], measures: Sequence[str], aggs:
     # partial sum per code, and what is labelled is the codes.
     rows = unpivot_dimensions(frame, ("date", *by, *measures))
     codes = base_cells(rows, ("date", *by, "variable", "categoria"), measures)
+    return _labelled(codes, by, aggs, labels)
+
+
+def _labelled(codes: DataFrame, by: Sequence[str], aggs: list[Column],
+              labels: dict[str, dict[str, str]]) -> DataFrame:
     named = codes.withColumn(
         "categoria", long_label(F.col("variable"), F.col("categoria"), labels))
     return with_period(named.groupBy("date", "variable", "categoria", *by).agg(*aggs))
@@ -101,6 +106,10 @@ def marginal(frame: DataFrame, variable: str, by: Sequence[str] = (),
 def state_sector(frame: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Workers per month, state and sector; codes without a label are missing data."""
     codes = base_cells(frame, ("date", *by, "cve_entidad", "sector_economico_1"), ["ta"])
+    return _crossed(codes, by)
+
+
+def _crossed(codes: DataFrame, by: Sequence[str]) -> DataFrame:
     named = codes.withColumns({
         "entidad": closed_label("cve_entidad", F.col("cve_entidad")),
         "sector": closed_label("sector_economico_1", F.col("sector_economico_1")),
@@ -112,3 +121,52 @@ def state_sector(frame: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def rollup_to(df: DataFrame, column: str, date: str = "date") -> DataFrame:
     """Sum workers over every other key, per month and `column`."""
     return with_period(df.groupBy(date, column).agg(total("ta").alias("ta")), date)
+
+
+#: Tables by what they are summed over: sexes apart or not, no dimension, each one, or the cross.
+_NONE, _EACH, _CROSS = "none", "each", "cross"
+_CROSSED = ("cve_entidad", "sector_economico_1")
+
+
+def grouped_sums(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The sums of all tables, by one aggregate over grouping sets and one scan of the cells.
+
+    `sexes` tells whether the row is of one sex, and `cut` its dimension: the name of one of
+    DIMENSIONS, `cross` for the state by sector, or `none`. Codes of other dimensions are null.
+    """
+    fixed = ["date", *by]
+    cuts = {_NONE: (), **{d: (d,) for d in DIMENSIONS}}
+    sets = [[*fixed, *sex, *dims] for sex in ((), ("sexo",)) for dims in cuts.values()]
+    keys = [*fixed, "sexo", *DIMENSIONS]
+    sums = [(total(m) if m in COUNTS else F.sum(m)).alias(m) for m in (*COUNTS, *WAGE_PARTS)]
+    held = {d: F.grouping(d) == 0 for d in ("sexo", *DIMENSIONS)}
+    cut = F.when(held[_CROSSED[0]] & held[_CROSSED[1]], F.lit(_CROSS))
+    for d in DIMENSIONS:
+        cut = cut.when(held[d], F.lit(d))
+    return cells.groupingSets([*sets, [*fixed, *_CROSSED]], *keys).agg(
+        *sums, cut.otherwise(F.lit(_NONE)).alias("cut"), held["sexo"].alias("sexes"))
+
+
+def tables_of(sums: DataFrame, by: Sequence[str] = (),
+              labels: dict[str, dict[str, str]] = LABELS) -> dict[str, DataFrame]:
+    """Every table from stored `grouped_sums`; equal to the tables of the cells themselves."""
+    def of(sexes: bool, *cuts: str) -> DataFrame:
+        rows = sums.filter(F.col("cut").isin(*cuts) & (F.col("sexes") == sexes))
+        return rows if sexes else rows.drop("sexo")
+
+    def one_way(sexes: bool, aggs: list[Column]) -> DataFrame:
+        code = F.coalesce(*[F.when(F.col("cut") == d, F.col(d)) for d in DIMENSIONS])
+        keys = ("sexo", *by) if sexes else tuple(by)
+        codes = of(sexes, *DIMENSIONS).withColumns({"variable": F.col("cut"), "categoria": code})
+        return _labelled(codes, keys, aggs, labels)
+
+    workers, wage = [total("ta").alias("ta")], [mean_wage(*WAGE_PARTS).alias("sbc_prom")]
+    return {
+        "national": national(of(False, _NONE), by),
+        "national_by_sex": national_by_sex(of(True, _NONE), by),
+        "marginals": one_way(False, workers),
+        "marginals_by_sex": one_way(True, workers),
+        "state_sector": _crossed(of(False, _CROSS), by),
+        "wage_marginals": one_way(False, wage),
+        "wage_marginals_by_sex": one_way(True, wage),
+    }

@@ -10,11 +10,16 @@ from padron.operators.history import upsert
 from padron.schemas import TABLE_KEYS
 from padron.sources.catalog import (
     file_catalog, in_range, list_files, monthly_files, new_months)
-from padron.sources.microdata import read_files, read_microdata
+from padron.session import materialise
+from padron.sources.microdata import LINE, REASON, read_files, read_microdata
 from padron.sources.tables import read_table, table_exists, write_snapshot
 
 SOURCE, ORIGIN = "archivo", "origen"
 
+
+class RejectedLines(ValueError):
+    """Too many lines of a run were rejected; nothing of it was stored."""
+
 TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "national": lambda c: cube.national(c, by=(SOURCE,)),
     "national_by_sex": lambda c: cube.national_by_sex(c, by=(SOURCE,)),
@@ -26,20 +31,29 @@ TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def source_cells(micro: DataFrame) -> DataFrame:
+def source_cells(micro: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Base cells kept apart by the monthly source and the file they come from.
 
     Rows are summed per file under a short key, so that the large shuffle carries no paths and
-    names are parsed per cell and not per row. `origen` is the key of the file.
+    names are parsed per cell and not per row. `origen` is the key of the file. Of a tolerant read
+    keep the reason and the line: rejected lines are then cells of their own, counted in `filas`.
     """
     codes = [k for k in cube.CELL_KEYS if k != "date"]
     keyed = cube.measured(micro).withColumn(ORIGIN, F.xxhash64("file_path"))
-    return cube.base_cells(keyed, (ORIGIN, *codes))
+    if not keep:
+        return cube.base_cells(keyed, (ORIGIN, *codes))
+    rejected = F.col(REASON).isNotNull()
+    bare = {c: F.when(~rejected, F.col(c)) for c in (*codes, *cube.COUNTS, *cube.WAGE_PARTS)}
+    counted = keyed.withColumns({**bare, "filas": F.lit(1).cast("long")})
+    return cube.base_cells(counted, (ORIGIN, *codes, *keep),
+                           (*cube.COUNTS, *cube.WAGE_PARTS, "filas"))
 
 
 def named_cells(cells: DataFrame, files: DataFrame) -> DataFrame:
     """Adds the source and month of each file, of `monthly_files`, a row per file."""
-    names = files.select(F.xxhash64("file_path").alias(ORIGIN), SOURCE, "date")
+    names = files.select(F.xxhash64("file_path").alias(ORIGIN), SOURCE, "date", "file_path")
+    if REASON not in cells.columns:
+        names = names.drop("file_path")
     return cells.join(names, ORIGIN)
 
 
@@ -55,12 +69,23 @@ def build_table(name: str, cells: DataFrame) -> DataFrame:
     return upsert(None, rows, TABLE_KEYS[name], order=(SOURCE,)).drop(SOURCE)
 
 
+def replace_months(rows: DataFrame, path: str) -> None:
+    """Write the rows' months, and leave all other months of the table as they are."""
+    (rows.hint("rebalance", F.col("date")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path))
+
+
 def update_cells(spark: SparkSession, inputs: str, cells_path: str, mode: str = "all",
-                 date_range: tuple | None = None) -> bool:
+                 date_range: tuple | None = None, rejected_path: str | None = None,
+                 max_rejected: float = 0.001) -> bool:
     """Add the months the cells lack; False when there is nothing new.
 
     Months already stored are neither read nor rewritten. A run that died half
     way is repeated safely, since it replaces only its own months.
+
+    A line that cannot be read stops the run. With `rejected_path` such lines go to a table there
+    instead (date, archivo, file_path, motivo, linea, filas), found in the same scan; a run in
+    which more than the share `max_rejected` of the lines is rejected stores nothing and fails.
     """
     catalog = file_catalog(spark, inputs)
     if catalog.isEmpty():
@@ -73,9 +98,22 @@ def update_cells(spark: SparkSession, inputs: str, cells_path: str, mode: str =
     if not paths:
         return False
     files = monthly_files(list_files(spark, paths))
-    cells = named_cells(source_cells(read_microdata(spark, paths)), files)
-    (cells.hint("rebalance", F.col("date")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(cells_path))
+    if rejected_path is None:
+        replace_months(named_cells(source_cells(read_microdata(spark, paths)), files), cells_path)
+        return True
+    rows = source_cells(read_microdata(spark, paths, tolerant=True), (REASON, LINE))
+    checked = materialise(named_cells(rows, files), "checked")
+    bad = F.col(REASON).isNotNull()
+    lines = checked.agg(F.sum("filas").alias("all"),
+                        F.coalesce(F.sum(F.when(bad, F.col("filas"))), F.lit(0)).alias("bad")).first()
+    if lines["bad"] > max_rejected * (lines["all"] or 0):
+        worst = checked.filter(bad).groupBy("file_path").agg(F.sum("filas").alias("n")).orderBy(
+            F.desc("n"), "file_path").first()
+        raise RejectedLines(f"{lines['bad']} of {lines['all']} lines rejected, "
+                            f"{worst.n} of them in {worst.file_path}")
+    replace_months(checked.filter(bad).select(
+        SOURCE, "file_path", REASON, LINE, "filas", "date"), rejected_path)
+    replace_months(checked.filter(~bad).drop(REASON, LINE, "filas", "file_path"), cells_path)
     return True
 
 
@@ -114,9 +152,53 @@ def update_files(spark: SparkSession, paths: list[str], cells_path: str) -> bool
     return True
 
 
+def _first_source(rows: DataFrame, name: str) -> DataFrame:
+    return upsert(None, rows, TABLE_KEYS[name], order=(SOURCE,)).drop(SOURCE)
+
+
+def all_tables(cells: DataFrame) -> dict[str, DataFrame]:
+    """Every table, from sums over grouping sets that one scan of the cells stores."""
+    sums = materialise(cube.grouped_sums(cells, (SOURCE,)), "sums")
+    return {name: _first_source(rows, name)
+            for name, rows in cube.tables_of(sums, (SOURCE,)).items()}
+
+
 def publish_tables(spark: SparkSession, cells_path: str, folder: str,
                    names: tuple[str, ...] = tuple(TABLES)) -> None:
-    """Store a new snapshot of each table, all from the one scan's cells."""
-    cells = read_table(spark, cells_path)
+    """Store a new snapshot of each table, all from one scan of the cells."""
+    tables = all_tables(read_table(spark, cells_path))
     for name in names:
-        write_snapshot(build_table(name, cells), f"{folder}/{name}")
+        write_snapshot(tables[name], f"{folder}/{name}")
+
+
+#: Table of the published months: date and a digest of the files that their cells come from.
+STATE = "meses"
+
+
+def month_state(cells: DataFrame) -> DataFrame:
+    """Per month, which files its cells come from; reads two columns."""
+    return cells.groupBy("date", ORIGIN).count().groupBy("date").agg(
+        F.count("*").alias("archivos"), F.bit_xor(F.xxhash64(ORIGIN, "count")).alias("huella"))
+
+
+def refresh_tables(spark: SparkSession, cells_path: str, folder: str) -> list:
+    """Bring the published tables, partitioned by month, up to date; the months rewritten.
+
+    Only months whose cells changed since they were published are read and rewritten; the others
+    keep their files. The state is written last, so a run that died is repeated safely.
+    """
+    cells = read_table(spark, cells_path)
+    state = month_state(cells)
+    if table_exists(spark, f"{folder}/{STATE}"):
+        known = read_table(spark, f"{folder}/{STATE}")
+        changed = state.join(known, ["date", "archivos", "huella"], "left_anti")
+    else:
+        changed = state
+    changed = materialise(changed, "changed")
+    months = sorted(r.date for r in changed.select("date").collect())  # calendar months
+    if not months:
+        return []
+    for name, rows in all_tables(cells.filter(F.col("date").isin(months))).items():
+        replace_months(rows, f"{folder}/{name}")
+    replace_months(changed, f"{folder}/{STATE}")
+    return months

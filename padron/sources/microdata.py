@@ -3,11 +3,10 @@
 Columns are bound by name, file by file, so files and part files may order them differently. Every
 field is read as text first: a number may be written as `12` or `12.0`, and anything else in a
 numeric column, a fraction in a count, or a line with a field too few or too many stops the read
-with an error that names the file.
+with an error that names the file. A tolerant read keeps such lines apart instead.
 """
 
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +15,7 @@ from pyspark.sql import types as T
 
 from padron.schemas import MICRODATA_TYPES
 from padron.sources.catalog import list_files, period_from_name, source_name
+from padron.sources.headers import header_variants
 
 #: An unquoted empty field and the text NA are null; a quoted empty field is empty text.
 CSV_OPTIONS = {"sep": "|", "header": True, "encoding": "ISO-8859-1", "nullValue": "NA"}
@@ -23,11 +23,11 @@ CSV_OPTIONS = {"sep": "|", "header": True, "encoding": "ISO-8859-1", "nullValue"
 #: Path of the file a row was read from, as column `file_path`.
 PATH = "_metadata.file_path"
 
-#: Headers that are read at the same time, one short job each.
-HEADER_THREADS = 16
-
 _BROKEN = "_broken_line"
 
+#: Columns of a tolerant read: why a line is rejected (null: it is not), and the line.
+REASON, LINE = "motivo", "linea"
+
 
 def size_column(header: Iterable[str]) -> str:
     """The one column that holds the employer size, whose name changes over the years."""
@@ -42,69 +42,80 @@ def read_header(spark: SparkSession, path: str) -> tuple[str, ...]:
     return tuple(spark.read.options(**CSV_OPTIONS).csv(path).columns)
 
 
-def headers_of(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files by header; the headers are read by a bounded number of jobs at a time."""
-    with ThreadPoolExecutor(HEADER_THREADS) as pool:
-        found = list(pool.map(lambda f: read_header(spark, f), files))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file, header in zip(files, found):
-        groups.setdefault(header, []).append(file)
-    return groups
-
-
-def read_microdata(spark: SparkSession, paths: list[str]) -> DataFrame:
+def read_microdata(spark: SparkSession, paths: list[str], tolerant: bool = False) -> DataFrame:
     """All sources as one frame, with the size column named `patron` and the period added.
 
-    Paths are files or folders of part files. Files are grouped by header and each group is one
-    scan, so the plan grows with the number of header variants, not of files. The period columns
-    are parsed from `file_path` on every row that uses them: aggregates should group by
-    `file_path` and call `with_source` on the result.
+    Paths are files or folders of part files. Headers are found by one job; files are grouped by
+    header and each group is one scan, so the plan grows with the number of header variants, not
+    of files. The period columns are parsed from `file_path` on every row that uses them:
+    aggregates should group by `file_path` and call `with_source` on the result.
     """
     if not paths:
         raise FileNotFoundError("no monthly files to read")
-    files = [r.path for r in list_files(spark, paths).select("path").orderBy("path").collect()]
-    return read_files(spark, files)
+    return _read_listed(spark, list_files(spark, paths), True, tolerant)
 
 
-def read_files(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+def read_files(spark: SparkSession, files: Sequence[str], tolerant: bool = False) -> DataFrame:
     """As `read_microdata`, for files already listed; one with only a header has no rows."""
-    groups = {h: f for h, f in headers_of(spark, files).items() if h}
+    if not files:
+        raise FileNotFoundError("no monthly files to read")
+    return _read_listed(spark, list_files(spark, list(files)), False, tolerant)
+
+
+def _read_listed(spark: SparkSession, files: DataFrame, whole_sources: bool,
+                 tolerant: bool) -> DataFrame:
+    groups = header_variants(files, whole_sources)
     if not groups:
         raise FileNotFoundError("the monthly files are empty")
-    frames = [_read_group(spark, list(h), f) for h, f in groups.items()]
+    frames = [_read_group(spark, list(h), f, tolerant) for h, f in groups.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _read_group(spark: SparkSession, header: list[str], files: list[str]) -> DataFrame:
+def _read_group(spark: SparkSession, header: list[str], paths: list[str],
+                tolerant: bool) -> DataFrame:
     try:
         size = size_column(header)
     except ValueError as error:
-        raise ValueError(f"{files[0]}: {error}") from None
+        raise ValueError(f"{paths[0]}: {error}") from None
     text = T.StructType([T.StructField(c, T.StringType()) for c in (*header, _BROKEN)])
     # Whole lines are parsed, since a line of the wrong width shows only then.
     rows = (spark.read.schema(text).options(**CSV_OPTIONS)
             .option("columnNameOfCorruptRecord", _BROKEN).option("columnPruning", False)
-            .csv(files).select("*", PATH))
-    whole = F.when(F.col(_BROKEN).isNull(), F.lit(True)).otherwise(F.raise_error(F.concat(
-        F.lit("line of the wrong width in "), "file_path", F.lit(": "),
-        F.coalesce(_BROKEN, header[0]))).cast("boolean"))  # Spark asks for a column of the line
-    rows = rows.filter(whole).drop(_BROKEN).withColumnRenamed(size, "patron")
-    typed = {c: _number(c, t) for c, t in MICRODATA_TYPES.items()
-             if c in rows.columns and not isinstance(t, T.StringType)}
-    return with_source(rows.withColumns(typed))
-
-
-def _number(name: str, kind: T.DataType) -> Column:
-    """A numeric field; empty is null, and a value that is not of its kind is an error."""
-    field = F.nullif(F.trim(F.col(name)), F.lit(""))
-    value = field.try_cast(T.DecimalType(38, 6))
-    good = value.isNotNull()
+            .option("recursiveFileLookup", True).csv(paths).select("*", PATH))
+    # Spark asks for a column of the line beside the broken one.
+    line = F.coalesce(_BROKEN, F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in header]))
+    kinds = {c: t for c, t in MICRODATA_TYPES.items()
+             if c in header and not isinstance(t, T.StringType)}
+    wrong = [F.when(F.col(_BROKEN).isNotNull(), F.lit("line of the wrong width"))]
+    wrong += [F.when(~_good(c, t), F.lit(f"{c} is not a number of its kind"))
+              for c, t in kinds.items()]
+    reason = F.coalesce(*wrong)
+    if tolerant:
+        rows = rows.withColumns({REASON: reason, LINE: F.when(reason.isNotNull(), line)})
+    else:
+        stop = F.raise_error(F.concat(reason, F.lit(" in "), "file_path", F.lit(": "), line))
+        rows = rows.filter(F.when(reason.isNull(), F.lit(True)).otherwise(stop.cast("boolean")))
+    typed = {c: _field(c).try_cast(T.DecimalType(38, 6)).try_cast(t) for c, t in kinds.items()}
+    return with_source(rows.drop(_BROKEN).withColumns(typed).withColumnRenamed(size, "patron"))
+
+
+def _field(name: str) -> Column:
+    return F.nullif(F.trim(F.col(name)), F.lit(""))
+
+
+def _good(name: str, kind: T.DataType) -> Column:
+    """Whether a numeric field is empty or a value of its kind."""
+    value = _field(name).try_cast(T.DecimalType(38, 6))
+    good = value.isNotNull() & value.try_cast(kind).isNotNull()
     if not isinstance(kind, T.DecimalType):
         good = good & (value == F.floor(value))
-    message = F.concat(F.lit(f"{name} is not a number of its kind in "), "file_path",
-                       F.lit(": "), field)
-    return F.when(field.isNull(), F.lit(None).cast(kind)).when(good, value.cast(kind)).otherwise(
-        F.raise_error(message).cast(kind))
+    return _field(name).isNull() | F.coalesce(good, F.lit(False))
+
+
+def split_rejected(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The good rows of a tolerant read, and the rejected lines (file_path, motivo, linea)."""
+    good = rows.filter(F.col(REASON).isNull()).drop(REASON, LINE)
+    return good, rows.filter(F.col(REASON).isNotNull()).select("file_path", REASON, LINE)
 
 
 def with_source(rows: DataFrame) -> DataFrame:

@@ -71,7 +71,7 @@ def test_report_and_charts_from_stored_tables(spark, tmp_path):
     assert all(df.count() == 1 for n, df in report.items() if n in (
         "nacional", "entidades", "sectores", "patrones", "sexo"))
     texts = {r.orden: r.texto for r in report["textos"].collect()}
-    assert len(texts) in (14, 15) and None not in texts.values()
+    assert len(texts) in (16, 17) and None not in texts.values()
     assert texts[1].startswith("A noviembre de 2001 hay ")
     charts = chart_tables(tables, employers_long(sheets), regions(spark, SF))
     write_report(charts, str(tmp_path / "charts"))
