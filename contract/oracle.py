@@ -365,6 +365,59 @@ def _signs() -> str:
     return f"SELECT *, {flags} FROM ind"
 
 
+def _trend_curve() -> str:
+    """Cells by recursion over the places of the sorted points, fits at their edges, and cubics."""
+    return """
+      serie AS (SELECT categoria, CAST(date - DATE '1970-01-01' AS DOUBLE) AS x,
+                       (ta / nullif(lag(ta) OVER (PARTITION BY categoria ORDER BY date), 0) - 1)
+                       * 100 AS y FROM marg WHERE variable = 'sector_economico_1'
+                       AND NOT (categoria = 'Sin dato (sector)' AND ta = 0)),
+      p AS MATERIALIZED (SELECT categoria, x, y,
+             row_number() OVER (PARTITION BY categoria ORDER BY x) AS o,
+             count(*) OVER (PARTITION BY categoria) AS n FROM serie WHERE y IS NOT NULL),
+      ancho AS (SELECT categoria, n, min(x) AS lo, max(x) AS hi FROM p GROUP BY 1, 2),
+      celda AS (SELECT categoria, 1 AS a, n AS b, n FROM ancho
+                UNION ALL SELECT categoria, unnest([a, (a + b) // 2 + 1]) AS a,
+                  unnest([(a + b) // 2, b]) AS b, n FROM celda
+                WHERE b - a + 1 > greatest(floor(n * (0.75 * 0.2)), 1)),
+      v AS MATERIALIZED (
+        SELECT categoria, lo - 0.005 * greatest(hi - lo, greatest(abs(lo), abs(hi)) / 1000 + 1e-30)
+               AS v FROM ancho
+        UNION SELECT categoria, hi + 0.005 * greatest(hi - lo, greatest(abs(lo), abs(hi)) / 1000
+               + 1e-30) FROM ancho
+        UNION SELECT c.categoria, (i.x + j.x) / 2 FROM celda c
+          JOIN p i ON i.categoria = c.categoria AND i.o = (c.a + c.b) // 2
+          JOIN p j ON j.categoria = c.categoria AND j.o = (c.a + c.b) // 2 + 1
+          WHERE c.b - c.a + 1 > greatest(floor(c.n * (0.75 * 0.2)), 1)),
+      par AS (SELECT v.categoria, v, x, y, n, abs(x - v) AS d, row_number() OVER (
+                PARTITION BY v.categoria, v ORDER BY abs(x - v)) AS o
+              FROM v JOIN p ON v.categoria = p.categoria),
+      h AS (SELECT categoria, v, max(d) AS h FROM par
+            WHERE o <= greatest(floor(0.75 * n + 1e-5), 1) GROUP BY 1, 2),
+      w AS (SELECT categoria, v, y, h, (x - v) / nullif(h, 0) AS t,
+                   power(1 - power(d / nullif(h, 0), 3), 3) AS w
+            FROM par JOIN h USING (categoria, v) WHERE d < h),
+      m AS (SELECT categoria, v, h, count(*) AS n, sum(w) AS s0, sum(w*t) AS s1, sum(w*t*t) AS s2,
+                   sum(w*t*t*t) AS s3, sum(w*t*t*t*t) AS s4, sum(w*y) AS m0, sum(w*t*y) AS m1,
+                   sum(w*t*t*y) AS m2 FROM w GROUP BY 1, 2, 3),
+      ajuste AS (SELECT categoria, v,
+          (m0*(s2*s4-s3*s3) - s1*(m1*s4-s3*m2) + s2*(m1*s3-s2*m2)) / nullif(det, 0) AS f,
+          (s0*(m1*s4-s3*m2) - m0*(s1*s4-s2*s3) + s2*(s1*m2-m1*s2)) / nullif(det, 0) / h AS d
+        FROM (SELECT *, s0*(s2*s4-s3*s3) - s1*(s1*s4-s2*s3) + s2*(s1*s3-s2*s2) AS det FROM m)
+        WHERE n >= 3),
+      tramo AS (SELECT v.categoria, v.v AS a, lead(v.v) OVER o AS b, f, lead(f) OVER o AS g, d,
+                       lead(d) OVER o AS e
+                FROM v LEFT JOIN ajuste ON v.categoria = ajuste.categoria AND v.v = ajuste.v
+                WINDOW o AS (PARTITION BY v.categoria ORDER BY v.v)),
+      punto AS (SELECT categoria, lo + i * ((hi - lo) / 79) AS x
+                FROM ancho, generate_series(0, 79) AS s(i)),
+      cerca AS (SELECT t.*, x, (x - a) / (b - a) AS h FROM punto JOIN tramo t
+                ON punto.categoria = t.categoria AND x >= a AND x < b)
+      SELECT categoria AS sector_economico, round(x, 4) AS dia, round(
+        (1-h)*(1-h)*(1+2*h)*f + h*h*(3-2*h)*g + (h*(1-h)*(1-h)*d - h*h*(1-h)*e)*(b-a), 4)
+        AS tendencia FROM cerca"""
+
+
 def _trend() -> str:
     return """
       serie AS (SELECT categoria, date, date - DATE '1970-01-01' AS x,
@@ -556,6 +609,7 @@ SELECTS: dict[str, str] = {
                          " WHERE fecha = (SELECT max(fecha) FROM pat)",
     "top3_bottom3": _extremes(),
     "sector_trend": "+" + _trend(),
+    "sector_trend_curve": "+" + _trend_curve(),
     "date_functions": "SELECT date, date AS inicio, last_day(date) AS fin,"
                       " strftime(date, '%Y%m') AS periodo, make_date(year(date), month(date), 1)"
                       f" AS armada, {mes('month(date - INTERVAL 1 MONTH)')} AS mes_anterior"
@@ -646,5 +700,6 @@ def oracle_sql() -> dict[str, str]:
         more = select.startswith("+")
         body = select[1:] if more else select
         heads = [f"{n} AS ({WITH[n]})" for n in _needed(body)]
-        out[name] = "WITH " + ", ".join(heads) + (", " if more else " ") + body
+        recursive = "RECURSIVE " if "FROM celda" in body else ""
+        out[name] = f"WITH {recursive}" + ", ".join(heads) + (", " if more else " ") + body
     return out

@@ -528,6 +528,12 @@ def sector_trend(spark, sf):
     return rows.withColumns({c: F.round(c, 4) for c in ("tc_mensual", "tendencia")})
 
 
+@query
+def sector_trend_curve(spark, sf):
+    rows = charts.sector_trend_curve(_marginal(spark, sf, "sector_economico_1"))
+    return rows.withColumns({c: F.round(c, 4) for c in ("dia", "tendencia")})
+
+
 # --- scalar functions -----------------------------------------------------------------------
 
 @query

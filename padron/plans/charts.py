@@ -12,7 +12,7 @@ from padron.operators.cube import rollup_to
 from padron.operators.growth import annual_rate, before
 from padron.operators.periods import latest, latest_per_group, same_month, with_latest
 from padron.operators.ranking import position, share
-from padron.operators.trend import loess
+from padron.operators.trend import loess, loess_curve
 from padron.plans.sheets import sector_rows
 
 
@@ -100,13 +100,21 @@ def employer_total(long: DataFrame) -> DataFrame:
     return _label_last(rows, "fecha", fmt_short_percent(F.col("tasa_anual"), 2))
 
 
-def sector_trend(marginals: DataFrame) -> DataFrame:
-    """Monthly growth of each sector with its smoothed trend, where the rate exists."""
+def _sector_rates(marginals: DataFrame) -> DataFrame:
     rows = sector_rows(marginals.filter(F.col("variable") == "sector_economico_1"))
-    rated = rows.select(
+    return rows.select(
         F.col("categoria").alias("sector_economico"), F.unix_date("date").alias("dia"),
         pct_change(F.col("ta"), before("ta", 1, ["categoria"])).alias("tc_mensual"))
-    fitted = loess(rated, "sector_economico", "dia", "tc_mensual")
+
+
+def sector_trend_curve(marginals: DataFrame) -> DataFrame:
+    """The smooth curve through each sector's monthly growth, as plotted: 80 points, in days."""
+    return loess_curve(_sector_rates(marginals), "sector_economico", "dia", "tc_mensual")
+
+
+def sector_trend(marginals: DataFrame) -> DataFrame:
+    """Monthly growth of each sector with its smoothed trend, where the rate exists."""
+    fitted = loess(_sector_rates(marginals), "sector_economico", "dia", "tc_mensual")
     return fitted.select("sector_economico", F.date_from_unix_date(F.col("dia").cast("int"))
                          .alias("date"), "tc_mensual", "tendencia")
 
@@ -128,4 +136,5 @@ def chart_tables(tables: dict[str, DataFrame], employers: DataFrame,
         "patrones_ultimos": last_points(employers),
         "patrones_total": employer_total(employers),
         "tendencia_sectores": sector_trend(tables["marginals"]),
+        "curva_sectores": sector_trend_curve(tables["marginals"]),
     }
