@@ -505,6 +505,10 @@ SELECTS: dict[str, str] = {
     "entity_slug": "SELECT DISTINCT entidad, replace(lower(entidad), ' ', '_') AS slug FROM cruce",
     "ingest_stream": "SELECT * FROM nacional",
     "monthly_job": "SELECT * FROM marg_sexo",
+    "snapshot_versions": "SELECT 'segunda' AS caso, year FROM nacional WHERE year <= 1996"
+                         " UNION ALL SELECT 'a_tiempo', year FROM nacional WHERE year <= 1996"
+                         " UNION ALL SELECT 'ultima', year FROM nacional WHERE year <= 1998"
+                         " UNION ALL SELECT 'quedan', CAST(unnest([3, 4]) AS INTEGER)",
     "tables_in_one_pass": " UNION ALL ".join(
         f"SELECT '{name}' AS tabla, year, count(*) AS filas, count({value}) AS con_valor,"
         f" CAST(round(sum({value}), 3) AS DOUBLE) AS suma FROM {view} GROUP BY year"

@@ -1,6 +1,7 @@
 """One query per operator, over the registry projection."""
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.errors import PySparkException
@@ -27,7 +28,8 @@ from padron.sources.employers import employers_long as long_form
 from padron.sources.employers import read_employers
 from padron.sources.microdata import read_microdata, with_source, write_microdata
 from padron.sources.tables import (
-    read_snapshot, read_table, write_per_entity, write_report, write_snapshot)
+    read_snapshot, read_table, snapshot_log, vacuum_snapshots, write_per_entity, write_report,
+    write_snapshot)
 from padron.streaming.ingest import start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -226,6 +228,26 @@ def entity_slug(spark, sf):
     return read_table(spark, folder).select("entidad", "slug").distinct()
 
 
+@query
+def snapshot_versions(spark, sf):
+    """A table stored once for each of its first years, read by number and by time, before and
+    after old versions are removed."""
+    path = f"{new_folder(spark, 'versions')}/national"
+    rows = materialise(_national(spark, sf), "national")
+    for year in (1995, 1996, 1997, 1998):
+        write_snapshot(rows.filter(F.col("year") <= year), path)
+    log = materialise(snapshot_log(spark, path), "log")
+    second = log.filter("version = 2").first()
+    read = {"segunda": read_snapshot(spark, path, version=2),
+            "a_tiempo": read_snapshot(spark, path, as_of=second.momento),
+            "ultima": read_snapshot(spark, path)}
+    read = {name: materialise(df, name) for name, df in read.items()}
+    vacuum_snapshots(spark, path, keep=2, grace=timedelta(0))
+    read["quedan"] = snapshot_log(spark, path).select(F.col("version").cast("int").alias("year"))
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(name).alias("caso"), "year") for name, df in read.items()])
+
+
 @query
 def ingest_stream(spark, sf):
     """National table from the CSV sources ingested as a stream, which keeps it up to date."""
