@@ -12,6 +12,34 @@ from padron.plans.report import FLAT, FLAT_SENTENCE, SENTENCES
 
 # --- text helpers ---------------------------------------------------------------------------
 
+_MEASURES = ("ta", "te", "tp", "masa_ok", "ta_sal_ok")
+_CELL = "date, sexo, cve_entidad, sector_economico_1, patron"
+#: Stored cells and those of the copies side by side, one row per cell, then summed by month.
+_REISSUED = (
+    "WITH r AS (SELECT *, coalesce(teu, 0) + coalesce(tec, 0) AS te, coalesce(tpu, 0)"
+    " + coalesce(tpc, 0) AS tp, masa_sal_ta <> 0 AND ta_sal <> 0 AS ok FROM registro"
+    " WHERE year(date) = 1996), lados AS (SELECT *, false AS nuevo FROM r UNION ALL"
+    " SELECT * REPLACE (ta + CASE WHEN month(date) BETWEEN 3 AND 6 AND cve_entidad = '3'"
+    " THEN 1 ELSE 0 END AS ta), true AS nuevo FROM r"
+    " WHERE month(date) > 2 OR l_suppkey % 3 <> 0),"
+    f" celdas AS (SELECT {_CELL}, nuevo, sum(ta) AS ta, sum(te) AS te, sum(tp) AS tp,"
+    " sum(masa_sal_ta * 100) FILTER (WHERE ok) AS masa_ok,"
+    " sum(ta_sal) FILTER (WHERE ok) AS ta_sal_ok FROM lados GROUP BY ALL),"
+    f" pares AS (SELECT {_CELL}, bool_or(nuevo) AS hay, bool_or(NOT nuevo) AS habia, "
+    + ", ".join(f"max({m}) FILTER (WHERE NOT nuevo) AS {m}_antes,"
+                f" max({m}) FILTER (WHERE nuevo) AS {m}_ahora" for m in _MEASURES)
+    + " FROM celdas GROUP BY ALL), distintas AS (SELECT *, CASE WHEN NOT habia THEN 'added'"
+    " WHEN NOT hay THEN 'gone' ELSE 'changed' END AS cambio FROM pares WHERE NOT (hay AND habia"
+    + "".join(f" AND {m}_antes IS NOT DISTINCT FROM {m}_ahora" for m in _MEASURES)
+    + ")) SELECT date, concat('asg-', last_day(date), '.csv') AS archivo,"
+    " concat('asg-', last_day(date), '.csv') AS guardado,"
+    " count(*) FILTER (WHERE cambio = 'added') AS celdas_nuevas,"
+    " count(*) FILTER (WHERE cambio = 'gone') AS celdas_idas,"
+    " count(*) FILTER (WHERE cambio = 'changed') AS celdas_cambiadas, "
+    + ", ".join(f"CAST(sum(coalesce({m}_ahora, 0) - coalesce({m}_antes, 0)) AS BIGINT) AS {m}_dif"
+                for m in _MEASURES)
+    + " FROM distintas GROUP BY date")
+
 #: Tables of the one-pass query with their views and values.
 _ONE_PASS = [("national", "nacional", "ta"), ("national_by_sex", "por_sexo", "ta"),
              ("marginals", "marg", "ta"), ("marginals_by_sex", "marg_sexo", "ta"),
@@ -519,6 +547,7 @@ SELECTS: dict[str, str] = {
                   + " ".join(f"WHEN {k} THEN '{why}'" for k, (_, why) in BROKEN_LINES.items())
                   + " END AS motivo, count(*) AS valor FROM lineitem WHERE l_partkey % 150 IN"
                   " (0, 50, 100) AND year(l_shipdate) = 1997 GROUP BY ALL",
+    "reissued_months": f"SELECT * FROM ({_REISSUED})",
     "row_sum_null_safe": "SELECT date, count(*) AS filas, count(te) AS con_te, count(*) FILTER"
                          " (WHERE te = 0) AS te_cero, count(*) FILTER (WHERE tp = 0) AS tp_cero,"
                          " CAST(sum(te) AS BIGINT) AS te, CAST(sum(tp) AS BIGINT) AS tp"

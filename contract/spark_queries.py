@@ -20,6 +20,7 @@ from padron.functions.measures import row_sum, wage_ratio
 from padron.operators import cube, growth, history, periods, reshape
 from padron.operators.ranking import ranking_text as ranking_text_of
 from padron.plans import charts, report, sheets
+from padron.plans.reissues import reissue_report, reissued_cells
 from padron.plans.update import build_table, refresh_tables, update_cells
 from padron.schemas import TABLE_KEYS
 from padron.session import materialise, new_folder
@@ -302,6 +303,23 @@ def quarantine(spark, sf):
     return good.unionByName(bad)
 
 
+@query
+def reissued_months(spark, sf):
+    """New copies of a stored year against the store, per month: the first months lack some
+    lines, March and later ones up to June have other values in one state, the rest is equal."""
+    store = new_folder(spark, "reissues")
+    inputs, copies, cells = f"{store}/inputs", f"{store}/copies", f"{store}/cells"
+    year = registro(spark, sf).filter(F.year("date") == 1996)
+    write_microdata(year, inputs, "Tamano_Patron")
+    update_cells(spark, inputs, cells)
+    month, key = F.month("date"), F.col("l_suppkey")
+    changed = (month >= 3) & (month <= 6) & F.col("cve_entidad").eqNullSafe("3")
+    copy = year.filter(~((month <= 2) & (key % 3 == 0))).withColumn(
+        "ta", F.col("ta") + changed.cast("int"))
+    write_microdata(copy, copies, "tamaño_patron", reverse=True)
+    return reissue_report(reissued_cells(spark, copies, cells))
+
+
 # --- projections, recodes, reshapes ---------------------------------------------------------
 
 @query

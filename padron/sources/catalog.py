@@ -29,10 +29,10 @@ def file_month(name: str | Column) -> Column:
 
 
 def list_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Files below one or more paths, read in no part: path, length, and file_path, the name
-    that a scan gives to its rows."""
+    """Files below one or more paths, read in no part: path, length, time of the last change, and
+    file_path, the name that a scan gives to its rows."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-            .select("path", "length", "_metadata.file_path"))
+            .select("path", "length", "modificationTime", "_metadata.file_path"))
 
 
 def monthly_files(files: DataFrame) -> DataFrame:
@@ -41,14 +41,19 @@ def monthly_files(files: DataFrame) -> DataFrame:
     return named.withColumn("date", file_month("archivo")).filter(F.col("date").isNotNull())
 
 
-def file_catalog(spark: SparkSession, folder: str) -> DataFrame:
+def file_catalog(spark: SparkSession, folder: str, modified_after=None) -> DataFrame:
     """One row per monthly source below a folder: name, month, folder or file path, size.
 
-    The listing reads no file content. Sources whose name is not a date are left out.
+    The listing reads no file content. Sources whose name is not a date are left out, and those
+    of which no file was modified after a time, if one is given.
     """
     inside = F.regexp_replace("path", "(" + FILE_PATTERN + ")/.*$", "$1")
-    return (monthly_files(list_files(spark, folder)).withColumn("ruta", inside)
-            .groupBy("archivo", "ruta", "date").agg(F.sum("length").alias("bytes")))
+    sources = (monthly_files(list_files(spark, folder)).withColumn("ruta", inside)
+               .groupBy("archivo", "ruta", "date").agg(
+                   F.sum("length").alias("bytes"), F.max("modificationTime").alias("_changed")))
+    if modified_after is not None:
+        sources = sources.filter(F.col("_changed") > F.lit(modified_after))
+    return sources.drop("_changed")
 
 
 def new_months(catalog: DataFrame, history: DataFrame | None, mode: str = "all") -> DataFrame:
