@@ -34,11 +34,13 @@ from padron.session import new_folder
 #: Longest code in bits; with so many bits a decoding table has 2**18 entries.
 MAX_BITS = 18
 #: Tokens between two checkpoints of a document.
-CHECKPOINT = 256
+CHECKPOINT = 128
 #: A mark behind a letter or digit and before white space is a pre-token of its own.
 SET_APART = re.compile(r"[.,;:!?](?<=[^\W_].)(?=\s)").sub
 #: A block is closed at so many tokens; it ends with a whole document.
-BLOCK_TOKENS = 65_536
+BLOCK_TOKENS = 131_072
+#: Ids that one call counts.
+COUNTED = 1 << 20
 
 
 # -- tokens ------------------------------------------------------------------------------------
@@ -124,8 +126,10 @@ def count_ids(tokens: DataFrame, dtype: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column("ids").to_pylist():
-                counts = np.bincount(np.frombuffer(ids, dtype))
+            # Neighbouring documents are counted together, in runs that stay small in memory.
+            ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), dtype)
+            for i in range(0, len(ids), COUNTED):
+                counts = np.bincount(ids[i:i + COUNTED])
                 if len(counts) > len(total):
                     total = np.pad(total, (0, len(counts) - len(total)))
                 total[:len(counts)] += counts
@@ -176,15 +180,15 @@ def canonical_codes(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, n
     return codes, bits
 
 
-def decoding_table(codes: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Id and code length for every value of the next `width` bits."""
+def decoding_table(codes: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, int]:
+    """For every value of the next `width` bits its id and, in the lowest byte, its code length."""
     width = int(bits.max()) if len(bits) else 1
-    ids, sizes = np.zeros(1 << width, np.uint32), np.ones(1 << width, np.int64)
+    table = np.ones(1 << width, np.int64)
     for i in np.flatnonzero(bits):
         first = int(codes[i]) << (width - int(bits[i]))
         span = 1 << (width - int(bits[i]))
-        ids[first:first + span], sizes[first:first + span] = i, bits[i]
-    return ids, sizes, width
+        table[first:first + span] = int(i) << 8 | int(bits[i])
+    return table, width
 
 
 def encode_ids(ids: np.ndarray, counts: np.ndarray, codes: np.ndarray,
@@ -213,22 +217,23 @@ def encode_ids(ids: np.ndarray, counts: np.ndarray, codes: np.ndarray,
 
 def decode_words(words: np.ndarray, lanes: np.ndarray, counts: np.ndarray, table) -> np.ndarray:
     """Decodes `counts` tokens from each bit offset in `lanes`, all lanes in step."""
-    ids, sizes, width = table
+    entries, width = table
     out = np.zeros((len(lanes), int(counts.max(initial=0))), np.uint32)
     order = np.argsort(-counts, kind="stable")
     at, left = lanes[order].astype(np.int64), counts[order]
+    # Every word with the next one behind it: an offset needs one look-up.
     padded = np.append(words, np.zeros(2, np.uint32)).astype(np.uint64)
-    mask = np.uint64((1 << width) - 1)
+    pairs = (padded[:-1] << np.uint64(32)) | padded[1:]
+    mask = (1 << width) - 1
     active = np.searchsorted(-left, -np.arange(out.shape[1]), side="left")
-    found = np.zeros_like(out)
+    found = np.zeros(out.shape[::-1], np.uint32)
     for step, n in enumerate(active):
         here = at[:n]
-        word = here >> 5
-        window = (padded[word] << np.uint64(32)) | padded[word + 1]
-        key = (window >> (64 - width - (here & 31)).astype(np.uint64)) & mask
-        found[:n, step] = ids[key]
-        here += sizes[key]
-    out[order] = found
+        window = pairs[here >> 5] >> (64 - width - (here & 31)).view(np.uint64)
+        entry = entries[window.view(np.int64) & mask]
+        found[step, :n] = entry >> 8
+        here += entry & 255
+    out[order] = found.T
     return out[np.arange(out.shape[1]) < counts[:, None]]
 
 
