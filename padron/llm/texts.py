@@ -4,6 +4,7 @@ import string
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,22 +40,26 @@ def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
 
 
-def slices(texts: list[str], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of neighbouring texts of at most about `limit` characters, one text at least."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        if i > start and size + len(text) > limit:
+def slices(sizes: list[int], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbouring texts of at most about `limit` bytes, one text at least."""
+    start = held = 0
+    for i, size in enumerate(sizes):
+        if i > start and held + size > limit:
             yield start, i
-            start, size = i, 0
-        size += len(text)
-    if start < len(texts):
-        yield start, len(texts)
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], text: str = "text",
                 limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Arrow batches cut by size of text, each with its texts as strings (null: empty)."""
+    """Arrow batches cut by size of text, each with its texts as strings (null: empty).
+
+    Only the texts of one slice are strings at a time, not those of the whole batch.
+    """
     for batch in batches:
-        texts = [t or "" for t in batch.column(text).to_pylist()]
-        for start, end in slices(texts, limit):
-            yield batch.slice(start, end - start), texts[start:end]
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
+        for start, end in slices(sizes, limit):
+            part = batch.slice(start, end - start)
+            yield part, [t or "" for t in part.column(text).to_pylist()]

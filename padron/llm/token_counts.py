@@ -90,20 +90,21 @@ class PieceMemo:
     call can be told apart by their first or last token; any other piece is encoded alone.
     """
 
-    def __init__(self, split: Callable, encode_words: Callable, encode_any: Callable):
+    def __init__(self, split: Callable, encode_words: Callable, encode_any: Callable,
+                 pieces: int | None = None):
         self.split, self.encode_words, self.encode_any = split, encode_words, encode_any
+        self.pieces = MEMO_PIECES if pieces is None else pieces
         self.young: dict = {}
         self.old: dict = {}
 
     def _missing(self, pieces: Iterable[str]) -> list[str]:
         """Pieces of unknown value; those known to the older generation move to the younger."""
-        young, missing = self.young, []
-        for piece in pieces:
-            if piece not in young:
-                if (value := self.old.get(piece)) is not None:
-                    young[piece] = value
-                else:
-                    missing.append(piece)
+        young, old, missing = self.young, self.old, []
+        for piece in set(pieces).difference(young):
+            if (value := old.get(piece)) is not None:
+                young[piece] = value
+            else:
+                missing.append(piece)
         return missing
 
     def _encode(self, pieces: list[str], encode: Callable) -> None:
@@ -113,16 +114,23 @@ class PieceMemo:
 
     def learn(self, cut: list[list[str]]) -> list[str]:
         """Makes the values of all pieces known; gives back the new ones."""
-        new = self._missing(set(chain.from_iterable(cut)))
-        parts = {piece: self.split(piece) for piece in new}
-        words = {p[0] for p in parts.values() if p}
-        alone = {p[1] for p in parts.values() if p} | {k for k, p in parts.items() if not p}
-        self._encode(self._missing(words), self.encode_words)
-        self._encode(self._missing(alone), self.encode_any)
+        new = self._missing(chain.from_iterable(cut))
+        whole, alone, joined = [], [], {}
+        for piece in new:
+            part = self.split(piece)
+            if part is None:
+                alone.append(piece)
+            elif part[0] == piece:  # a word without marks, which needs no sum
+                whole.append(piece)
+            else:
+                joined[piece] = part
+        self._encode(whole, self.encode_words)
+        self._encode(alone, self.encode_any)
+        self._encode(self._missing(p[0] for p in joined.values()), self.encode_words)
+        self._encode(self._missing(p[1] for p in joined.values()), self.encode_any)
         young = self.young
-        for piece, part in parts.items():
-            if part:
-                young[piece] = young[part[0]] + young[part[1]]
+        for piece, (word, tail) in joined.items():
+            young[piece] = young[word] + young[tail]
         return new
 
     def forget(self, new: list[str]) -> None:
@@ -130,7 +138,7 @@ class PieceMemo:
         for piece in new:
             if len(piece) > MEMO_LENGTH:
                 self.young.pop(piece, None)
-        if len(self.young) > MEMO_PIECES:
+        if len(self.young) > self.pieces:
             self.old, self.young = self.young, {}
 
 

@@ -14,10 +14,12 @@ blocks. Other columns are not read.
 import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ from pyspark.sql.window import Window
 from padron.llm.token_counts import (
     MEMO_LENGTH, TAIL, PieceMemo, in_worker, letters, load_tokenizer,
     no_cycle_search)
-from padron.llm.texts import text_slices
+from padron.llm.texts import SLICE_BYTES, text_slices
 from padron.session import new_folder
 
 #: Longest code in bits; with so many bits a decoding table has 2**18 entries.
@@ -39,6 +41,9 @@ CHECKPOINT = 128
 SET_APART = re.compile(r"[.,;:!?](?<=[^\W_].)(?=\s)").sub
 #: A block is closed at so many tokens; it ends with a whole document.
 BLOCK_TOKENS = 131_072
+#: Pieces in each generation of a worker's memo, about 60 MB: ids take more than lengths,
+#: and the pipeline's executors come to this stage with a full heap.
+MEMO_IDS = 250_000
 #: Ids that one call counts.
 COUNTED = 1 << 20
 
@@ -53,27 +58,40 @@ def split_word(piece: str) -> tuple[str, str] | None:
     return None
 
 
+def byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write each byte: printable ones as they are."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = (b for b in range(256) if b not in shown)
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 def id_memo(path: str, dtype: str) -> PieceMemo:
+    """Words go to the library's model, as they are their own pre-tokens; anything else, and words
+    that its normalizer could change, goes through the whole tokenizer."""
     tokenizer = load_tokenizer(path)
-    ends = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), bool)
-    for token, i in tokenizer.get_vocab(with_added_tokens=True).items():
-        ends[i] = token.endswith("</w>")  # how word BPE vocabularies mark the end of a pre-token
+    model, letter = tokenizer.model, byte_letters()
+    code = np.dtype(dtype).char
 
     def alone(pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype).tobytes() for e in tokenizer.encode_batch_fast(
             pieces, add_special_tokens=False)]
 
+    def direct(word: str) -> bytes:
+        spelt = word if word.isascii() else word.encode().decode("latin-1").translate(letter)
+        return array(code, [t.id for t in model.tokenize(spelt)]).tobytes()
+
+    def is_plain(word: str) -> bool:
+        return word == word.lower() and unicodedata.is_normalized("NFC", word)
+
+    # Tokenizers that spell or cut words in another way are not asked for words alone.
+    known = ["direct", "voilà", "größer", "самый"]
+    if [direct(w) for w in known] != alone(known):
+        return PieceMemo(split_word, alone, alone, MEMO_IDS)
+
     def words(pieces: list[str]) -> list[bytes]:
-        ids = np.array(tokenizer.encode_batch_fast(
-            [" ".join(pieces)], add_special_tokens=False)[0].ids, dtype)
-        last = np.flatnonzero(ends[ids]) + 1
-        if len(last) != len(pieces):
-            return alone(pieces)
-        size, coded = ids.itemsize, ids.tobytes()
-        stops = (last * size).tolist()
-        return [coded[a:b] for a, b in zip([0, *stops], stops)]
+        return [direct(w) if is_plain(w) else alone([w])[0] for w in pieces]
 
-    return PieceMemo(split_word, words, alone)
+    return PieceMemo(split_word, words, alone, MEMO_IDS)
 
 
 def plain(text: str) -> str:
@@ -92,14 +110,19 @@ def text_ids(texts: list[str], memo: PieceMemo, end: bytes) -> list[bytes]:
     """Ids of each text as bytes, with the end id.
 
     The tokenizer must drop white space, lower-case and never join across white space or between
-    letters and marks, as this word BPE does: then a text's ids are those of its pieces.
+    letters and marks, as this word BPE does: then a text's ids are those of its pieces. Arrow cuts
+    the texts and puts the ids together; only the different pieces of a call become strings.
     """
-    cut = [plain(t).split(" ") for t in texts]
-    new = memo.learn(cut)
-    ids = memo.young.__getitem__
-    coded = [b"".join(map(ids, pieces)) + end for pieces in cut]
+    cut = pc.split_pattern(pa.array(map(plain, texts), pa.string()), " ")
+    coded = cut.flatten().dictionary_encode()
+    pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    new = memo.learn([pieces])
+    ids = pa.array(list(map(memo.young.__getitem__, pieces)), pa.binary()).take(coded.indices)
     memo.forget(new)
-    return coded
+    _, offsets, data = ids.buffers()
+    data = data.to_pybytes() if data else b""
+    at = np.frombuffer(offsets, np.int32)[cut.offsets.to_numpy()].tolist()
+    return [data[a:b] + end for a, b in zip(at, at[1:])]
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, dtype: str,
@@ -110,7 +133,8 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, dtype: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = in_worker(("ids", tokenizer_path, dtype), lambda: id_memo(tokenizer_path, dtype))
         end = np.array([end_id], dtype).tobytes()
-        for batch, texts in text_slices(batches):
+        # Fewer, larger slices: each asks the memo once for a piece that repeats in it.
+        for batch, texts in text_slices(batches, limit=2 * SLICE_BYTES):
             with no_cycle_search():
                 coded = text_ids(texts, memo, end)
             yield pa.RecordBatch.from_arrays(
@@ -124,6 +148,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, dtype: str,
 def count_ids(tokens: DataFrame, dtype: str) -> DataFrame:
     """Occurrences of every id; each task sends one row per id it has met."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        in_worker(("counts",), dict)  # lets go of the memo that the stage before left here
         total = np.zeros(0, np.int64)
         for batch in batches:
             # Neighbouring documents are counted together, in runs that stay small in memory.

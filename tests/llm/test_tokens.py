@@ -1,10 +1,12 @@
 """Token counts and token files against the library on whole texts, and exact round trips."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -12,6 +14,7 @@ from tokenizers import Tokenizer
 
 from padron.llm import token_counts, token_files
 from padron.llm.queries import BYTE_BPE, WORD_BPE
+from padron.llm.texts import text_slices
 from tests.llm.helpers import EDGE, documents
 
 ODD = (list("ab 'st  \n\t\r\x0b\x0c\x1c\x1f\x85\xa01!?.,ßÖ") + [" ", " ", " ", "　", "᠎",
@@ -49,6 +52,50 @@ def test_memo_forgets_without_change(monkeypatch):
     assert [token_counts.token_lengths([t], memo)[0] for t in texts] == once
 
 
+def test_ids_of_words_by_the_model_alone(libraries):
+    memo, rng = token_files.id_memo(WORD_BPE, "uint16"), random.Random(5)
+    letters = [chr(i) for i in range(0x41, 0x530) if chr(i).isalpha()]
+    for word in [*letters, *("".join(rng.choices(letters, k=5)) for _ in range(2_000))]:
+        ids = np.frombuffer(token_files.text_ids([word], memo, b"")[0], "uint16").tolist()
+        assert ids == libraries[WORD_BPE].encode(word, add_special_tokens=False).ids, repr(word)
+
+
+def test_ids_ask_once_for_a_repeated_piece(libraries):
+    memo, asked = token_files.id_memo(WORD_BPE, "uint16"), []
+    learn = memo.learn
+
+    def counted(cut):
+        asked.extend(p for pieces in cut for p in pieces)
+        return learn(cut)
+
+    memo.learn = counted
+    texts = ["same words, again and again " * 500, "", "again, same"]
+    ids = [np.frombuffer(x, "uint16").tolist() for x in token_files.text_ids(texts, memo, b"")]
+    assert ids == [libraries[WORD_BPE].encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(asked) == len(set(asked)) < 10
+
+
+def test_memo_of_ids_is_smaller_and_bounded(monkeypatch, libraries):
+    monkeypatch.setattr(token_files, "MEMO_IDS", 5)
+    memo = token_files.id_memo(WORD_BPE, "uint16")
+    for i in range(40):
+        text = f"word{i % 7} and more, of {i % 5} kinds"
+        ids = np.frombuffer(token_files.text_ids([text], memo, b"")[0], "uint16").tolist()
+        assert ids == libraries[WORD_BPE].encode(text, add_special_tokens=False).ids
+        assert len(memo.young) <= 5
+    assert token_files.MEMO_IDS < token_counts.MEMO_PIECES
+
+
+def test_only_one_slice_of_a_batch_is_strings():
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([None] + [chr(97 + i % 26) * 100_000 for i in range(60)])], ["text"])
+    tracemalloc.start()
+    n = sum(len(t) for _, part in text_slices([batch], limit=200_000) for t in part)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 6_000_000 and peak < 1_500_000
+
+
 def test_counts_of_edge_rows(spark, libraries):
     out = token_counts.count_tokens(documents(spark, EDGE), BYTE_BPE, limit=12).collect()
     expected = []
