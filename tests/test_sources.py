@@ -1,3 +1,4 @@
+import re
 from datetime import date
 
 import pytest
@@ -160,3 +161,29 @@ def test_part_files_may_order_columns_differently(spark, tmp_path):
     rows = read_microdata(spark, [str(source)]).drop("file_path").collect()
     assert len(rows) == 2 and rows[0] == rows[1]
     assert (rows[0].cve_entidad, rows[0].patron, rows[0].sexo) == ("9", "S3", 2)
+
+
+#: How a count and an amount may be written, with their values.
+SPELLINGS = [("12", 12), ("12.0", 12), (" 12", 12), ("+5", 5), ("007", 7), ("-3", -3), ("1e3", 1000),
+             ("-0", 0), ("", None), ("NA", None), ("  ", None), ("9223372036854775807", 2 ** 63 - 1)]
+AMOUNTS = [("12", "12.00"), ("12.5", "12.50"), ("12.50", "12.50"), (" 1.005", "1.01"), ("+0.1", "0.10"),
+           ("-7.25", "-7.25"), ("1e2", "100.00"), ("", None), ("NA", None)]
+
+
+def test_spellings_of_numbers(spark, tmp_path):
+    lines = [f"1|1|S1|1|{a}|||||1.00|1" for a, _ in SPELLINGS]
+    lines += [f"1|1|S1|1|1|||||{m}|1" for m, _ in AMOUNTS]
+    path = write_file(tmp_path, "asg-2020-01-31.csv", lines)
+    rows = read_microdata(spark, [str(path)]).select(
+        "ta", F.col("masa_sal_ta").cast("string").alias("m")).collect()
+    assert [r.ta for r in rows[:len(SPELLINGS)]] == [v for _, v in SPELLINGS]
+    assert [r.m for r in rows[len(SPELLINGS):]] == [v for _, v in AMOUNTS]
+
+
+def test_reading_makes_no_method_too_large_to_compile(spark, tmp_path):
+    """The JVM interprets methods of more than 8,000 bytes, however often they run."""
+    path = write_file(tmp_path, "asg-2020-01-31.csv", ["1|1|S1|1|1|||||1.00|1"])
+    plan = read_microdata(spark, [str(path)])._jdf.queryExecution()
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:\s*(\d+)", plan.explainString(mode))]
+    assert max(sizes, default=0) < 8_000
