@@ -9,7 +9,8 @@ from padron.sources.catalog import (
     file_catalog, in_range, missing_months, new_months, period_from_name, source_manifest,
     source_name,
 )
-from padron.sources.microdata import read_header, read_microdata, size_column, write_microdata
+from padron.sources.microdata import (
+    dealt_by_month, read_header, read_microdata, size_column, write_microdata)
 
 HEADER = "cve_entidad|sector_economico_1|tamaño_patron|sexo|ta|teu|tec|tpu|tpc|masa_sal_ta|ta_sal"
 
@@ -187,3 +188,13 @@ def test_reading_makes_no_method_too_large_to_compile(spark, tmp_path):
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:\s*(\d+)", plan.explainString(mode))]
     assert max(sizes, default=0) < 8_000
+
+
+def test_names_of_sources_are_not_shuffled(spark):
+    micro = spark.range(10).selectExpr("DATE'2020-01-01' AS date", "CAST(id AS STRING) AS patron",
+                                       "id AS ta")
+    rows = dealt_by_month(micro)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "asg-" in plan.split("RebalancePartitions")[0]
+    assert "asg-" not in plan.split("RebalancePartitions")[1]
+    assert {r.archivo for r in rows.collect()} == {"asg-2020-01-31.csv"}
