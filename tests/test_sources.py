@@ -198,3 +198,14 @@ def test_names_of_sources_are_not_shuffled(spark):
     assert "asg-" in plan.split("RebalancePartitions")[0]
     assert "asg-" not in plan.split("RebalancePartitions")[1]
     assert {r.archivo for r in rows.collect()} == {"asg-2020-01-31.csv"}
+
+
+def test_counts_are_read_as_such_and_other_spellings_again(spark, tmp_path):
+    plain = "1|0|S1|1|12|1|1|1|1|12.50|12"
+    other = ["1|0|S1|1|12.0|1|1|1|1|12.50|+12", "1|0|S1|1| 12|1|1|1|1|12.5|012",
+             '1|0|S1|1|"12"|1|1|1|1|12.500|"12.0"', "1|0|S1|1|12|1|1|1|1|12.4999999|12"]
+    path = write_file(tmp_path, "asg-2024-01-31.csv", [plain, *other])
+    rows = read_microdata(spark, [str(path)])
+    assert [(r.ta, str(r.masa_sal_ta), r.ta_sal) for r in rows.collect()] == [(12, "12.50", 12)] * 5
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "ta:bigint" in plan.split("ReadSchema: ")[1]
